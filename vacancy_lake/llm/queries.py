@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe
+from . import bpe, line_dedup, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -26,9 +26,23 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_digests(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
 
 
+def op6_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.filter_urls(table(spark, sf_dir, "pages"), url_filter.RULES)
+
+
+def op7_line_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return line_dedup.remove_boilerplate(docs).select("doc_id", "text", "n_lines", "n_removed")
+
+
 QUERIES: dict[str, Query] = {
     "op3_bpe": op3_bpe,
+    "op6_url_rules": op6_url_rules,
+    "op7_line_spread": op7_line_spread,
 }
 
 #: DuckDB SQL for the queries that SQL can express.
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op6_url_rules": url_filter.ORACLE,
+    "op7_line_spread": line_dedup.ORACLE,
+}
