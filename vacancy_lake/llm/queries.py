@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, line_dedup, url_filter
+from . import bpe, fertility, licences, line_dedup, records, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -22,6 +22,14 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fertility.quality_rules(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
+
+
+def op2_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan_licences(table(spark, sf_dir, "documents"))
+
+
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_digests(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
 
@@ -35,10 +43,18 @@ def op7_line_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.remove_boilerplate(docs).select("doc_id", "text", "n_lines", "n_removed")
 
 
+def op8_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return records.read_records(records.write_records(docs, vocabulary("byte_bpe_50k.json"), end_id=2))
+
+
 QUERIES: dict[str, Query] = {
+    "op1_fertility": op1_fertility,
+    "op2_licences": op2_licences,
     "op3_bpe": op3_bpe,
     "op6_url_rules": op6_url_rules,
     "op7_line_spread": op7_line_spread,
+    "op8_records": op8_records,
 }
 
 #: DuckDB SQL for the queries that SQL can express.
