@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, fertility, licences, line_dedup, records, url_filter
+from . import bpe, decontaminate, fertility, licences, line_dedup, records, simhash, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -34,6 +34,10 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_digests(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
 
 
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op6_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.filter_urls(table(spark, sf_dir, "pages"), url_filter.RULES)
 
@@ -48,13 +52,19 @@ def op8_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.read_records(records.write_records(docs, vocabulary("byte_bpe_50k.json"), end_id=2))
 
 
+def op9_cgk_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_fertility": op1_fertility,
     "op2_licences": op2_licences,
     "op3_bpe": op3_bpe,
+    "op5_simhash": op5_simhash,
     "op6_url_rules": op6_url_rules,
     "op7_line_spread": op7_line_spread,
     "op8_records": op8_records,
+    "op9_cgk_leaks": op9_cgk_leaks,
 }
 
 #: DuckDB SQL for the queries that SQL can express.
