@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, fertility, language, licences, line_dedup, records, simhash, url_filter
+from . import bpe, decontaminate, fertility, katz, language, licences, line_dedup, records, simhash, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,6 +23,11 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def held_out(of: int) -> Column:
+    """The contract's held-out documents; one without an id is never trained on."""
+    return F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(of)) == 2, F.lit(True))
+
+
 def op1_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fertility.quality_rules(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
 
@@ -35,6 +40,10 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_digests(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
 
 
+def op4_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return katz.katz_scores(table(spark, sf_dir, "documents"), held_out(7))
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -57,11 +66,6 @@ def op9_cgk_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-def held_out(of: int) -> Column:
-    """The contract's held-out documents; one without an id is never trained on."""
-    return F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(of)) == 2, F.lit(True))
-
-
 def op10_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = language.fit(docs.filter(~held_out(4)))
@@ -73,6 +77,7 @@ QUERIES: dict[str, Query] = {
     "op1_fertility": op1_fertility,
     "op2_licences": op2_licences,
     "op3_bpe": op3_bpe,
+    "op4_katz": op4_katz,
     "op5_simhash": op5_simhash,
     "op6_url_rules": op6_url_rules,
     "op7_line_spread": op7_line_spread,
