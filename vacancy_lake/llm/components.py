@@ -38,10 +38,12 @@ def components(links: DataFrame) -> DataFrame:
     and the number of rounds grows with the logarithm of the longest chain.  Without links the
     result is empty.
     """
-    now = written(links.filter("a <> b").select("a", "b").distinct(), "links")
+    # Links are short rows: an eighth of the usual partitions holds them, in fewer tasks and files.
+    parts = max(1, int(links.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 8)
+    now = written(links.filter("a <> b").select("a", "b").distinct().coalesce(parts), "links")
     mark = None
     while True:
-        now = written(_small_star(_large_star(now)), "links")
+        now = written(_small_star(_large_star(now)).coalesce(parts), "links")
         state = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))).first()
         if state == mark:
             return now.select(F.col("a").alias("node"), F.col("b").alias("root")).distinct().unionByName(

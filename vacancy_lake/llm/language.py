@@ -312,6 +312,20 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text", keep: list[s
     return append_columns(docs, text_col, compute, FIELDS, keep)
 
 
+def keep_known(docs: DataFrame, model: Model, least_score: float, text_col: str = "text") -> DataFrame:
+    """``docs``, all columns, without the rows whose language is ``und`` or scores less."""
+    import uuid
+
+    shared, key = docs.sparkSession.sparkContext.broadcast(model), uuid.uuid4().hex
+
+    def known(texts):
+        langs, scores = predict(shared.value, texts, cache_of(key))
+        return ([x != UNKNOWN and s >= least_score for x, s in zip(langs, scores, strict=True)],)
+
+    flag = T.StructField("__known", T.BooleanType())
+    return append_columns(docs, text_col, known, [flag], where="__known").drop("__known")
+
+
 def label_tokens(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, position, word, lang, score of every word: the labels of code-switched text."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
