@@ -137,14 +137,16 @@ def training_rows(docs: DataFrame, per_language: int, text_col: str, lang_col: s
     rows = docs.select(
         F.col(text_col).alias("t"), F.col(lang_col).alias("l"), F.xxhash64(text_col).alias("h")
     ).filter("t IS NOT NULL AND l IS NOT NULL")
-    # The languages are the labels: few, whatever the number of rows.
-    counts = rows.groupBy("l").agg(F.count("*").alias("n"))
+    # The languages are the model's labels: few, whatever the number of rows.
+    counts = {r.l: r.n for r in rows.groupBy("l").agg(F.count("*").alias("n")).collect()}
+    if not counts:
+        return []
     # A cut that leaves about twice the rows needed comes before the ranking, so that no task ranks
-    # all rows of a language.
-    share = F.least(F.lit(1.0), F.lit(2.0 * per_language + 200) / F.col("n"))
-    near = rows.join(counts, "l").filter(
-        F.pmod(F.xxhash64("h"), F.lit(1_000_000)) < share * 1_000_000
+    # all rows of a language and only the sample's texts are moved.
+    share = F.coalesce(
+        *[F.when(F.col("l") == k, F.lit(min(1.0, (2.0 * per_language + 200) / n))) for k, n in counts.items()]
     )
+    near = rows.filter(F.pmod(F.xxhash64("h"), F.lit(1_000_000)) < share * 1_000_000)
     ranked = near.withColumn("r", F.row_number().over(Window.partitionBy("l").orderBy("h", "t")))
     # Only a span of a long text comes to the driver: its letters around a place drawn by the hash.
     span = F.lit(SPAN * 12)
