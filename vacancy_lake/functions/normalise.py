@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -13,17 +15,32 @@ LOCATION_PREFIX = "Việc làm tại "
 SEPARATORS = [" & ", " | ", " / ", ", ", " - "]
 
 
-def clean_location(raw: Column, cities: dict[str, list[str]] | None = None) -> Column:
-    """City of a location text, else the text's first part; null for null or empty."""
+def location_part(raw: Column) -> Column:
+    """The first place of a location text, without brackets; null for null or empty."""
     text = strip(raw)
     text = F.when(text.startswith(LOCATION_PREFIX), F.replace(text, F.lit(LOCATION_PREFIX), F.lit(""))).otherwise(text)
-    part = text
-    for mark in reversed(SEPARATORS):
-        part = F.when(F.instr(text, mark) > 0, strip(F.substring_index(text, mark, 1))).otherwise(part)
-    part = strip(F.regexp_replace(part, r"(?U)\s*\([^)]*\)\s*", " "))
+    # The mark that comes first in the list, not in the text, cuts.
+    mark = F.coalesce(*[F.when(F.contains(text, F.lit(m)), F.lit(m)) for m in SEPARATORS])
+    part = F.when(mark.isNull(), text).otherwise(strip(F.split_part(text, mark, F.lit(1))))
+    return F.when(given(raw), strip(F.regexp_replace(part, r"(?U)\s*\([^)]*\)\s*", " ")))
+
+
+def city_of(part: Column, cities: dict[str, list[str]] | None = None) -> Column:
+    """The first city one of whose names a place holds, else the place itself."""
     low = F.lower(part)
-    rules = [(k, F.lit(city)) for city, names in (cities or V.CITIES).items() for k in names]
-    return F.when(given(raw), F.coalesce(first_contained(low, rules), part))
+    rules = [(F.lit(city), names) for city, names in (cities or V.CITIES).items()]
+    # Names are tried in order, city by city: one alternation of literals for each city.
+    found = [F.when(low.rlike("|".join(map(_literal, names))), city) for city, names in rules]
+    return F.coalesce(*found, part)
+
+
+def _literal(text: str) -> str:
+    return re.sub(r"([.()\-])", r"\\\1", text)
+
+
+def clean_location(raw: Column, cities: dict[str, list[str]] | None = None) -> Column:
+    """City of a location text, else the text's first part; null for null or empty."""
+    return city_of(location_part(raw), cities)
 
 
 def parse_experience(raw: Column) -> Column:

@@ -28,14 +28,12 @@ def tokens(text: Column, stopwords: list[str] = STOPWORDS) -> Column:
 
 def ngrams_of(words: Column, most: int = 3) -> Column:
     """All runs of 1 to ``most`` words."""
-    parts = [
-        F.transform(
-            F.when(F.size(words) >= n, F.sequence(F.lit(1), F.size(words) - (n - 1))).otherwise(F.array().cast("array<int>")),
-            lambda i, n=n: F.array_join(F.slice(words, i, n), " "),
-        )
-        for n in range(1, most + 1)
-    ]
-    return F.concat(*parts)
+
+    def runs(n: int) -> Column:
+        starts = F.when(F.size(words) >= n, F.sequence(F.lit(1), F.size(words) - (n - 1)))
+        return F.transform(F.coalesce(starts, F.array().cast("array<int>")), lambda i: F.array_join(F.slice(words, i, n), " "))
+
+    return F.concat(*[runs(n) for n in range(1, most + 1)])
 
 
 def ngram_counts(df: DataFrame, text: Column, most: int = 3, min_count: int = 3, limit: int | None = 500) -> DataFrame:

@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas
+from .. import vocabulary as V
 from ..functions import normalise as N
-from ..functions.text import given
+from ..functions.text import given, join_given, keywords_in, phrases_in
 
 
 def normalised(merged: DataFrame, country: str = "Vietnam", default_source: str = "TopCV") -> DataFrame:
@@ -22,9 +23,11 @@ def normalised(merged: DataFrame, country: str = "Vietnam", default_source: str
             "__salary": N.parse_salary(F.col("salary")),
             "__exp": N.parse_experience(F.col("experience")),
             "__mode": N.derive_work_mode(F.col("working_time"), F.col("description"), F.col("requirements")),
+            # Used by many branches below: columns of their own, so that each is computed once.
+            "__text": join_given(F.col("title"), F.col("description"), F.col("requirements")),
+            "__place": N.location_part(F.col("location")),
         }
     )
-    texts = (F.col("title"), F.col("description"), F.col("requirements"))
     columns = {
         "job_id": F.col("id"),
         "source": F.coalesce("source", F.lit(default_source)),
@@ -32,7 +35,7 @@ def normalised(merged: DataFrame, country: str = "Vietnam", default_source: str
         "title": F.col("title"),
         "company": F.col("company"),
         "location_raw": F.col("location"),
-        "location_clean": N.clean_location(F.col("location")),
+        "location_clean": N.city_of(F.col("__place")),
         "salary_min": F.col("__salary.salary_min"),
         "salary_max": F.col("__salary.salary_max"),
         "currency": F.col("__salary.currency"),
@@ -52,8 +55,8 @@ def normalised(merged: DataFrame, country: str = "Vietnam", default_source: str
         "description": F.col("description"),
         "requirements": F.col("requirements"),
         "benefits": F.col("benefits"),
-        "skills": N.extract_skills(*texts),
-        "domain_keywords": N.extract_domains(*texts),
+        "skills": keywords_in(F.col("__text"), [w for w in V.SKILLS if w not in set(V.DOMAINS)]),
+        "domain_keywords": phrases_in(F.col("__text"), V.DOMAINS),
         "crawled_at": F.col("crawled_at"),
     }
     reason = F.when(F.col("__salary.bad_number"), F.lit("salary: number token without a digit"))
