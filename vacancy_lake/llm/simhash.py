@@ -93,7 +93,8 @@ def near_links(fps: np.ndarray, forest: Forest, max_distance: int) -> list[tuple
         border, rest = [rest[0]], rest[1:]
         while border and len(rest):
             at = border.pop()
-            close = np.bitwise_count(rest ^ at) <= max_distance
+            # As unsigned: of a negative number numpy counts the bits of its absolute value.
+            close = np.bitwise_count((rest ^ at).view(np.uint64)) <= max_distance
             if close.any():
                 reached, rest = rest[close], rest[~close]
                 for other in reached.tolist():
