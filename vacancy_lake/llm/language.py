@@ -279,12 +279,14 @@ def label_words(model: Model, texts: list[list[str]], cache: WordScores | None =
 
 def predict(model: Model, texts: list[bytes | None], cache: WordScores | None = None) -> tuple[list[str], list[float]]:
     """Language and score of each text: the share of its letters that the language holds."""
+    if not model.labels:
+        return [UNKNOWN] * len(texts), [0.0] * len(texts)
     langs, scores = [], []
     for a in range(0, len(texts), 1000):
         strings = [(x or b"").decode("utf-8") for x in texts[a : a + 1000]]
         words = [words_of(s) for s in strings]
         for own, p in zip(words, label_words(model, words, cache), strict=True):
-            if not own or not model.labels:
+            if not own:
                 langs.append(UNKNOWN)
                 scores.append(0.0)
                 continue
