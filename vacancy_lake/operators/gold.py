@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,16 +13,21 @@ from pyspark.sql.window import Window
 def mode_of(df: DataFrame, column: str, name: str) -> DataFrame:
     """The most frequent value (of equals the smallest); one row, null if there is none."""
     counted = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("n"))
-    return counted.agg(F.max("n").alias("most")).join(
-        counted, F.col("n") == F.col("most"), "left"
-    ).agg(F.min(column).alias(name))
+    return counted.agg(F.min_by(column, F.struct(-F.col("n"), F.col(column))).alias(name))
+
+
+def side_by_side(*rows: DataFrame) -> DataFrame:
+    """Frames of one row each, with columns of their own, as one row: stacked, then folded."""
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), rows)
+    return stacked.agg(*[F.max(c).alias(c) for c in stacked.columns])
 
 
 def metrics(silver: DataFrame) -> DataFrame:
     """total_jobs, avg_salary_max, top_role, top_location: one row."""
     totals = silver.agg(F.count("*").alias("total_jobs"), F.avg("salary_max").alias("avg_salary_max"))
-    roles, places = mode_of(silver, "normalized_role", "top_role"), mode_of(silver, "location_clean", "top_location")
-    return totals.crossJoin(roles).crossJoin(places)  # three frames of one row
+    return side_by_side(
+        totals, mode_of(silver, "normalized_role", "top_role"), mode_of(silver, "location_clean", "top_location")
+    )
 
 
 def means_by(df: DataFrame, keys: Sequence[str], values: dict[str, str]) -> DataFrame:

@@ -16,6 +16,7 @@ from pyspark.sql.window import Window
 
 from .. import vocabulary as V
 from ..functions.text import is_blank
+from .gold import side_by_side
 
 OK, WARNING, ERROR = "OK", "WARNING", "ERROR"
 RESULT = ["stage", "check", "count", "total", "percentage", "status"]
@@ -160,7 +161,6 @@ def role_mismatch(role: Column, title: Column, words: dict[str, list[str]] = V.R
 
 def uniqueness(df: DataFrame, warn_duplicates: int = 2, warn_consistency: int = 5) -> DataFrame:
     """Repeated job URLs (distinct ones), and titles that do not go with their role."""
-    total = df.agg(F.count("*").alias("total"))
     if "job_url" in df.columns:
         twice = duplicate_keys(df, "job_url").agg(F.count("*").alias("duplicate_job_url"))
     else:
@@ -169,7 +169,7 @@ def uniqueness(df: DataFrame, warn_duplicates: int = 2, warn_consistency: int =
         wrong = F.count_if(role_mismatch(F.col("normalized_role"), F.col("title")).isNotNull())
     else:
         wrong = F.count_if(F.lit(False))
-    row = total.crossJoin(twice).crossJoin(df.agg(wrong.alias("role_title_consistency")))  # three frames of one row
+    row = side_by_side(df.agg(F.count("*").alias("total"), wrong.alias("role_title_consistency")), twice)
     checks = ["duplicate_job_url", "role_title_consistency"]
     counts = F.array(*[F.struct(F.lit(c).alias("check"), F.col(c).cast("long").alias("count")) for c in checks])
     long = row.filter("total > 0").select(F.lit("uniqueness").alias("stage"), F.inline(counts), "total")

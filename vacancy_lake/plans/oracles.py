@@ -328,6 +328,9 @@ ORACLES |= {
     "R1_stage_selection": ORACLES["V1_validity"],
     "S1_read_records": postings("SELECT title, company, location, salary, experience, url FROM postings"),
     "S2_read_silver": silver("SELECT job_id, normalized_role, salary_max, array_to_string(skills, ',') AS skills FROM silver"),
+    "S3_read_by_suffix": silver("SELECT job_id, normalized_role, CASE WHEN len(skills) = 0 THEN '[]' ELSE '[\"' || array_to_string(skills, '\",\"') || '\"]' END AS skills FROM silver"),
+    "S7_read_pages": "SELECT CAST(sum(length(regexp_replace(html, '\\s+', ' ', 'g'))) AS BIGINT) AS chars, true AS named FROM pages",
+    "R2_stage_isolation": ORACLES["V1_validity"] + " UNION ALL SELECT 'broken', 'failed: AnalysisException', 0, 0, NULL, 'ERROR'",
     "S4_write_silver": silver("SELECT currency, count(*) AS n FROM silver GROUP BY 1"),
     "S5_write_gold": silver(f"SELECT normalized_role, {_mean('salary_max', 'salary_max_mean')} FROM silver WHERE normalized_role IS NOT NULL GROUP BY 1 HAVING avg(salary_min) IS NOT NULL AND avg(salary_max) IS NOT NULL"),
     "S6_append_landing": silver("SELECT CAST(substr(crawled_at, 1, 4) AS INTEGER) AS crawl_date, coalesce(normalized_role, 'other') AS role, 2 * count(*) AS n FROM parsed GROUP BY 1, 2"),

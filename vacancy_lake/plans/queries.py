@@ -564,13 +564,7 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     path = scratch_path(spark, "html")
     table(spark, sf_dir, "pages").select(F.regexp_replace("html", r"\s+", " ").alias("value")).write.text(path)
-    return io.read_pages(spark, path).select(F.count_if(F.length("html") > 0).over(_all()).alias("files"), F.length("html").alias("chars"))
-
-
-def _all():
-    from pyspark.sql.window import Window
-
-    return Window.partitionBy(F.lit(0))  # one row per file
+    return io.read_pages(spark, path).agg(F.sum(F.length(F.replace(F.col("html"), F.lit("\n"), F.lit("")))).alias("chars"), (F.count("url") > 0).alias("named"))
 
 
 @query("S8_read_gold")
