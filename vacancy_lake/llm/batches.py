@@ -20,6 +20,13 @@ def texts_of(batch: pa.RecordBatch, column: str) -> list[bytes | None]:
     return batch.column(column).cast(pa.large_binary()).to_pylist()
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """The same rows in smaller batches: a worker holds the texts of few rows as Python objects."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def append_columns(
     df: DataFrame,
     text_col: str,
@@ -40,9 +47,7 @@ def append_columns(
     arrow = [(f.name, to_arrow_type(f.dataType)) for f in fields]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in slices(batches):
             values = compute(texts_of(batch, text_col))
             columns = [batch.column(c) for c in kept]
             columns += [pa.array(v, type=t) for v, (_, t) in zip(values, arrow, strict=True)]

@@ -39,7 +39,7 @@ PATTERN = (
     rf"|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+"
 )
 #: Distinct pieces a worker remembers before it starts anew: a bound on memory, not on results.
-PIECE_LIMIT = 350_000
+PIECE_LIMIT = 200_000
 
 
 def byte_alphabet() -> dict[str, int]:

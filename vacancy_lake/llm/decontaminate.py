@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .batches import append_columns, ragged, texts_of
+from .batches import append_columns, ragged, slices, texts_of
 from .licences import WORDS
 
 #: Words of items that one pass carries to the tasks: about 50 MB of index.
@@ -310,7 +310,7 @@ def find_leaks(
         index = spark.sparkContext.broadcast(build_index(block, rate, recall, seed))
 
         def run(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
+            for batch in slices(batches):
                 ix, ids = index.value, batch.column("doc_id").to_pylist()
                 rows = [
                     (ids[d], ix.ids[k], far, len(ix.codes[k]), 1.0 - far / len(ix.codes[k]), last)

@@ -30,7 +30,9 @@ ROWS_PER_LANGUAGE = 800
 SPAN = 60
 #: Words that get their own lexicon entry: those with this many training occurrences.
 LEXICON_MIN = 2
-WORD_LIMIT = 300_000
+WORD_LIMIT = 200_000
+#: Letters of the texts that are labelled together.
+GROUP_LETTERS = 1_000_000
 UNKNOWN = "und"
 WORD = re.compile(r"[^\W\d_]+")
 LETTER = re.compile(r"[^\W\d_]")
@@ -282,8 +284,9 @@ def predict(model: Model, texts: list[bytes | None], cache: WordScores | None =
     if not model.labels:
         return [UNKNOWN] * len(texts), [0.0] * len(texts)
     langs, scores = [], []
-    for a in range(0, len(texts), 1000):
-        strings = [(x or b"").decode("utf-8") for x in texts[a : a + 1000]]
+    ends = np.cumsum([len(x or b"") for x in texts])
+    for group in np.split(np.arange(len(texts)), np.flatnonzero(np.diff(ends // GROUP_LETTERS)) + 1):
+        strings = [(texts[k] or b"").decode("utf-8") for k in group]
         words = [words_of(s) for s in strings]
         for own, p in zip(words, label_words(model, words, cache), strict=True):
             if not own:
