@@ -9,7 +9,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from vacancy_lake.llm import decontaminate, line_dedup, queries, simhash, url_filter
+from vacancy_lake.llm import decontaminate, jaccard, line_dedup, queries, simhash, url_filter
 from vacancy_lake.llm.components import components
 
 SF = "/root/testdata/sf0.001"
@@ -74,6 +74,53 @@ def test_simhash_equals_brute_force(spark, limit):
     assert simhash.near_duplicates(frame(spark, []).filter("false")).count() == 0
 
 
+def plain_shingles(text, size=5):
+    words = (text or "").encode().lower().split()
+    return {tuple(words[k : k + size]) for k in range(max(1, len(words) - size + 1))}
+
+
+def plain_similar(texts, least=0.8):
+    ids, sets = sorted(texts), {i: plain_shingles(t) for i, t in texts.items()}
+    root = {i: i for i in ids}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a in ids:
+        for b in ids:
+            if a < b and len(sets[a] & sets[b]) >= least * len(sets[a] | sets[b]) - 1e-9:
+                x, y = find(a), find(b)
+                root[max(x, y)] = min(x, y)
+    return {i: find(i) for i in ids}
+
+
+@pytest.mark.parametrize("part", [4_000_000, 700])
+def test_similar_texts_equal_brute_force(spark, part):
+    rng = random.Random(11)
+    texts = near_texts()
+    for k in range(100, 180, 2):
+        own = [f"w{rng.randrange(300)}" for _ in range(200)]
+        texts[k] = " ".join(own)
+        for _ in range(rng.randint(1, 5)):
+            own[rng.randrange(200)] = "new"
+        texts[k + 1] = " ".join(own).upper()
+    rows = list(texts.items()) + [(10, texts[10]), (None, texts[11])]
+    want = plain_similar(texts)
+    got = jaccard.near_duplicates(frame(spark, rows), part_shingles=part).collect()
+    assert len(got) == len(rows)
+    assert all(r.component_id == want[11 if r.doc_id is None else r.doc_id] for r in got)
+    kept = {r.doc_id for r in simhash.keep_first(frame(spark, rows), shingle=5, similarity=0.8).collect()}
+    assert kept == set(want.values())
+    stage = {r.doc_id for r in corpus_pipeline.first_of_group(spark, frame(spark, rows), SF).collect()}
+    assert stage == kept
+    # Four of 64 bits miss most of these pairs.
+    far = [k for k in range(100, 180, 2) if want[k + 1] == k and (plain_fingerprint(texts[k]) ^ plain_fingerprint(texts[k + 1])).bit_count() > 4]
+    assert len(far) > 10
+    assert jaccard.near_duplicates(frame(spark, []).filter("false")).count() == 0
+
+
 def test_links_of_random_fingerprints(spark):
     rng = random.Random(2)
     fps = [rng.getrandbits(64) for _ in range(150)]

@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from . import jaccard
 from .batches import append_columns
 from .components import components
 from .store import written
@@ -52,11 +53,10 @@ def fingerprint(text: bytes | None, shingle: int = 4) -> int:
     return int(np.packbits(2 * counts > n, bitorder="little").view("<i8")[0])
 
 
-def fingerprints(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def fingerprints(docs: DataFrame, id_col: str, text_col: str, shingle: int = 4) -> DataFrame:
     """id, fp of every row."""
-    return append_columns(
-        docs, text_col, lambda texts: ([fingerprint(x) for x in texts],), [T.StructField("fp", T.LongType())], [id_col]
-    )
+    fp = T.StructField("fp", T.LongType())
+    return append_columns(docs, text_col, lambda texts: ([fingerprint(x, shingle) for x in texts],), [fp], [id_col])
 
 
 class Forest:
@@ -203,17 +203,21 @@ def fingerprint_links(fps: DataFrame, group_limit: int = GROUP_LIMIT) -> DataFra
 
 
 def near_duplicates(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", group_limit: int = GROUP_LIMIT
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    group_limit: int = GROUP_LIMIT,
+    shingle: int = 4,
 ) -> DataFrame:
     """Per row of ``docs``: id, ``fingerprint`` (16 hex digits), ``component_id``.
 
-    Words are lower-cased (A-Z) and cut at white space, shingles have four words, fingerprints at
+    Words are lower-cased (A-Z) and cut at white space, shingles have ``shingle`` words, fingerprints at
     most four bits apart are linked, and ``component_id`` is the smallest id that links reach.  A
     null, empty or blank text has fingerprint zero and is linked like any other.  A null id never
     names a component (it does if there is no other).  Repeated rows give repeated results, other
     columns are not read, an empty table gives an empty result.
     """
-    marked = written(fingerprints(docs, id_col, text_col), "fingerprints")
+    marked = written(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
     fps = written(marked.groupBy("fp").agg(F.min(id_col).alias("first_id")), "distinct")
     roots = components(fingerprint_links(fps.select("fp"), group_limit))
     placed = fps.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
@@ -225,11 +229,23 @@ def near_duplicates(
     )
 
 
-def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def keep_first(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    shingle: int = 4,
+    similarity: float | None = None,
+) -> DataFrame:
     """Of each group of near-duplicates the document with the smallest id; all columns of ``docs``.
 
-    Rows that share an id are one document: they stay or go together.
+    Groups are those of ``near_duplicates`` or, with a ``similarity``, those of texts whose sets of
+    shingles have at least this Jaccard similarity.  Rows that share an id are one document: they
+    stay or go together.
     """
-    kept = near_duplicates(docs, id_col, text_col).filter(F.col(id_col).eqNullSafe(F.col("component_id")))
+    if similarity is None:
+        found = near_duplicates(docs, id_col, text_col, shingle=shingle)
+    else:
+        found = jaccard.near_duplicates(docs, id_col, text_col, shingle, similarity)
+    kept = found.filter(F.col(id_col).eqNullSafe(F.col("component_id")))
     ids = kept.select(F.col(id_col).alias("__kept")).distinct()
     return docs.join(ids, F.col(id_col).eqNullSafe(F.col("__kept")), "left_semi")
