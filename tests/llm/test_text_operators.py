@@ -171,6 +171,19 @@ def test_language_of_held_out_and_switched_texts(spark):
     assert language.identify(docs.filter("false"), model).count() == 0
 
 
+def test_copies_do_not_crowd_out_the_sample(spark):
+    few = [f"zorgu blemi {w} tarka vuno {w}esk" for w in ("aba", "obo", "ulu", "iri", "eke", "ono", "ata", "usu")]
+    many = [f"the house {k} of people and their words" for k in range(300)]
+    copies = frame(spark, few, lang="zz").crossJoin(spark.range(4000)).drop("id")
+    docs = copies.unionByName(frame(spark, many, lang="en"))
+    rows = language.training_rows(docs, 10, "text", "lang")
+    assert sorted(t for lang, t, _ in rows if lang == "zz") == sorted(few)
+    assert len({t for lang, t, _ in rows if lang == "en"}) == 10
+    model = language.fit(docs, per_language=10)
+    assert model.labels == ["en", "zz"]
+    assert language.identify(frame(spark, ["zorgu tarka blemi vuno"]), model).first().lang_pred == "zz"
+
+
 def test_forward_backward_equals_enumeration():
     from itertools import product
 

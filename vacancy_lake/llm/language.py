@@ -24,7 +24,7 @@ from .batches import Codes, append_columns
 
 #: Hashed features: a bound on the model's size.
 BUCKETS = 1 << 18
-#: Training rows: a bounded sample, the rows with the smallest hashes, this many of each language.
+#: Training rows: a bounded sample, the distinct texts with the smallest hashes, this many of each language.
 ROWS_PER_LANGUAGE = 800
 #: Words of a training row that are used, from a place that its hash draws.
 SPAN = 60
@@ -133,27 +133,30 @@ def forward_backward(scores: np.ndarray, lengths: np.ndarray, start: np.ndarray,
 
 
 def training_rows(docs: DataFrame, per_language: int, text_col: str, lang_col: str) -> list[tuple]:
-    """The bounded sample: of each language the ``per_language`` rows with the smallest hashes."""
+    """The bounded sample: of each language the ``per_language`` distinct texts with the smallest hashes."""
     from pyspark.sql.window import Window
 
     rows = docs.select(
         F.col(text_col).alias("t"), F.col(lang_col).alias("l"), F.xxhash64(text_col).alias("h")
     ).filter("t IS NOT NULL AND l IS NOT NULL")
-    # The languages are the model's labels: few, whatever the number of rows.
-    counts = {r.l: r.n for r in rows.groupBy("l").agg(F.count("*").alias("n")).collect()}
+    # Copies of a text count once.  The languages are the model's labels: few, whatever the number of rows.
+    counted = rows.groupBy("l", "h").agg(F.lit(1).alias("one")).groupBy("l").agg(F.count("*").alias("n"))
+    counts = {r.l: r.n for r in counted.collect()}
     if not counts:
         return []
-    # A cut that leaves about twice the rows needed comes before the ranking, so that no task ranks
-    # all rows of a language and only the sample's texts are moved.
+    # A cut that leaves about twice the texts needed comes before the ranking, so that no task ranks
+    # all texts of a language and only the sample's texts are moved.
     share = F.coalesce(
         *[F.when(F.col("l") == k, F.lit(min(1.0, (2.0 * per_language + 200) / n))) for k, n in counts.items()]
     )
     near = rows.filter(F.pmod(F.xxhash64("h"), F.lit(1_000_000)) < share * 1_000_000)
-    ranked = near.withColumn("r", F.row_number().over(Window.partitionBy("l").orderBy("h", "t")))
-    # Only a span of a long text comes to the driver: its letters around a place drawn by the hash.
+    # Only a span of a long text is moved: its letters around a place drawn by the hash.
     span = F.lit(SPAN * 12)
     begin = F.pmod("h", F.greatest(F.lit(1).cast("long"), F.length("t") - span)).cast("int")
-    taken = ranked.filter(F.col("r") <= per_language).select("l", F.substring("t", begin + 1, span).alias("t"), "h")
+    spans = near.select("l", "h", F.substring("t", begin + 1, span).alias("t"))
+    distinct = spans.groupBy("l", "h").agg(F.min("t").alias("t"))
+    ranked = distinct.withColumn("r", F.row_number().over(Window.partitionBy("l").orderBy("h")))
+    taken = ranked.filter(F.col("r") <= per_language).select("l", "t", "h")
     return [tuple(r) for r in taken.sort("l", "h", "t").collect()]
 
 
