@@ -260,6 +260,23 @@ def _(spark, sf_dir):
     return ingest.insert_counts(*old_and_new(spark, sf_dir), "key")
 
 
+def sides_of_all(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """As ``old_and_new``, but every page is on at least one side."""
+    pages = keyed_pages(spark, sf_dir)
+    return pages.filter("page_id % 3 <> 0"), pages.filter("page_id % 2 = 0 OR page_id % 3 = 0")
+
+
+@query("M7_insert_only_all")
+def _(spark, sf_dir):
+    old, new = sides_of_all(spark, sf_dir)
+    return ingest.insert_only(old.withColumn("side", F.lit("old")), new.withColumn("side", F.lit("new")), "key")
+
+
+@query("M7_insert_counts_all")
+def _(spark, sf_dir):
+    return ingest.insert_counts(*sides_of_all(spark, sf_dir), "key")
+
+
 @query("M8_overlay")
 def _(spark, sf_dir):
     p = postings(spark, sf_dir)
@@ -279,6 +296,17 @@ def _(spark, sf_dir):
     return ingest.resume(*old_and_new(spark, sf_dir), checkpoint, "key")
 
 
+@query("M9_pending_all")
+def _(spark, sf_dir):
+    return ingest.pending(*sides_of_all(spark, sf_dir), "key")
+
+
+@query("M10_resume_all")
+def _(spark, sf_dir):
+    checkpoint = keyed_pages(spark, sf_dir).filter("page_id % 5 = 0")
+    return ingest.resume(*sides_of_all(spark, sf_dir), checkpoint, "key")
+
+
 @query("M10_stream_ingest")
 def _(spark, sf_dir):
     """Pages as a file stream, upserted insert-only; the second run finds nothing new."""
@@ -392,6 +420,12 @@ def _(spark, sf_dir):
     return found.filter("ord % 4 <> 0 AND s IS NOT NULL").select("ord", "s.salary_min", "s.salary_max", "s.salary_source")
 
 
+@query("H6_html_salary_all")
+def _(spark, sf_dir):
+    found = job_pages(spark, sf_dir).select("ord", H.salary_from_html(F.col("html")).alias("s"))
+    return found.select("ord", "s.salary_min", "s.salary_max", "s.salary_source")
+
+
 @query("H7_salary_cascade")
 def _(spark, sf_dir):
     source = H.salary_of_page(F.col("html"))["salary_source"].alias("salary_source")
@@ -407,6 +441,9 @@ def _(spark, sf_dir):
     return found.filter("length(description) > 50 AND instr(description, 'Join us.') > 0 AND instr(description, 'Yêu') = 0")
 
 
+on_job_pages("H9_brand_description_all", lambda: [H.brand_description(F.col("html")).alias("description")])
+
+
 on_job_pages("H10_visible_text", lambda: [H.visible_text(F.col("html")).alias("text")])
 
 
