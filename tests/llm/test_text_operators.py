@@ -55,11 +55,17 @@ def test_bpe_equals_the_library_and_comes_back(spark, library):
 
 
 @settings(max_examples=200, deadline=None)
-@given(st.text(alphabet="abcdethinß漢 '\n.,$12½\xa0", max_size=60))
+@given(
+    st.text(alphabet="abcdethinß漢 '\n.,$12½\xa0", max_size=60)
+    | st.lists(st.sampled_from(["the", "it's", "a,b", "Größe", "½x", "\n", "\x1c", "<|endoftext|>", "漢字。", "", "\t"]), max_size=20).map(" ".join)
+    | st.lists(st.text(alphabet="thesß ,", max_size=12), max_size=6).map("\n".join)
+)
 def test_bpe_property(library, text):
     path = vocabulary("byte_bpe_50k.json")
-    flat, counts = bpe.backtracking_cache(path).encode([text])
-    assert flat.tolist() == ids_of(library, text) and counts.tolist() == [len(flat)]
+    flat = next(bpe.texts_ids([text.encode()], path))[0]
+    assert flat.tolist() == ids_of(library, text)
+    own = b"".join(next(records.library_cache(path, "<u2").of([text])))
+    assert np.frombuffer(own, "<u2").tolist() == flat.tolist()
     assert bpe.table(path).decode(flat) == text.encode()
 
 

@@ -15,8 +15,7 @@ from __future__ import annotations
 import hashlib
 import json
 import re
-from array import array
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from functools import lru_cache
 
 import numpy as np
@@ -38,8 +37,8 @@ PATTERN = (
     rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{WHITE}\p{{L}}\p{{N}}]+"
     rf"|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+"
 )
-#: Distinct pieces a worker remembers before it starts anew: a bound on memory, not on results.
-PIECE_LIMIT = 200_000
+#: Distinct pieces a worker remembers: a bound on memory, not on results.
+PIECE_LIMIT = 300_000
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -83,6 +82,7 @@ class BytePairTable:
             self.automaton.add_word(self.tokens[i].decode("latin-1"), i)
         self.automaton.make_automaton()
         self.compatible: dict[tuple[int, int], bool] = {}
+        self.remembered = lru_cache(maxsize=PIECE_LIMIT // 2)(lambda word: self.encode_word(word.encode()))
         self.split = regex.compile(PATTERN).findall
         self.cut = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
         # Decoding: all token bytes in one block, and where each id begins.
@@ -170,21 +170,15 @@ class BytePairTable:
         finally:
             self.merged[a, b] = known
 
-    def encode_pieces(self, pieces: Sequence[str]) -> list[list[int]]:
-        """Ids of pieces that were cut at white space."""
-        out = []
-        for piece in pieces:
-            if piece in self.special:
-                out.append([self.special[piece]])
-                continue
-            if ONE_WORD(piece):
-                out.append(self.encode_word(piece.encode()))
-                continue
-            ids: list[int] = []
-            for word in self.split(piece):
-                ids += self.encode_word(word.encode())
-            out.append(ids)
-        return out
+    def encode_piece(self, piece: str) -> list[int]:
+        """Ids of a piece that was cut at white space."""
+        if piece in self.special:
+            return [self.special[piece]]
+        ids: list[int] = []
+        for part in PIECES.findall(piece):
+            for word in [part] if ONE_WORD(part) else self.split(part):
+                ids += self.remembered(word)
+        return ids
 
     def decode(self, ids: np.ndarray) -> bytes:
         """Bytes of a sequence of ids, by the offset table."""
@@ -192,58 +186,52 @@ class BytePairTable:
 
 
 class PieceCache:
-    """Ids of texts: cut into pieces, look each distinct piece up, encode those not seen yet."""
+    """What ``encode`` gives for each piece of a text; a worker remembers the pieces it has seen.
 
-    def __init__(self, special: Sequence[str], encode_pieces: Callable[[list[str]], list[list[int]]]) -> None:
+    A text whose white space is single spaces and line feeds between words is cut by splitting
+    strings, any other by PIECES.  A piece goes by a name: a word after a space by itself, the first
+    word of a later line with its line feed, anything else by a space and itself.  ``encode`` gets
+    the new pieces of many texts at once.  When full, the half that was used last stays.
+    """
+
+    def __init__(self, special: Sequence[str], encode: Callable[[list[str]], list], limit: int = PIECE_LIMIT) -> None:
         self.cut = re.compile("(" + "|".join(map(re.escape, special)) + ")") if special else None
         self.special = set(special)
-        self.encode_pieces = encode_pieces
-        self.clear()
-
-    def clear(self) -> None:
-        self.codes = Codes()
-        self.ids = array("i")
-        self.lengths = array("i")
-        self.decimal: list[bytes] = []
-
-    def pieces(self, text: str) -> list[str]:
-        if self.cut is None or not any(s in text for s in self.special):
-            return PIECES.findall(text)
-        out: list[str] = []
-        for part in self.cut.split(text):
-            out += [part] if part in self.special else PIECES.findall(part)
+        self.encode = encode
+        self.half = max(1, limit // 2)
+        self.codes, self.values = Codes(), []
+        self.older: tuple[dict, list] = {}, []
+
+    def names(self, text: str) -> list[str]:
+        """The names of a text's pieces, in order."""
+        if self.cut is not None and any(s in text for s in self.special):
+            out: list[str] = []
+            for part in self.cut.split(text):
+                out += [part] if part in self.special else PIECES.findall(part)
+            return [" " + x for x in out]
+        out = []
+        for line in text.split("\n"):
+            words = line.split()
+            if not words or " ".join(words) != line:
+                return [" " + x for x in PIECES.findall(text)]
+            words[0] = ("\n" if out else " ") + words[0]
+            out += words
         return out
 
-    def encode(self, texts: Sequence[str], digits: list[bytes] | None = None) -> tuple[np.ndarray, np.ndarray]:
-        """All ids, one text after another, and how many each text has.
-
-        ``digits`` gets, for each text, its ids in decimal, joined by commas.
-        """
-        if len(self.codes) > PIECE_LIMIT:
-            self.clear()
-        look, codes, counts = self.codes.__getitem__, array("i"), []
-        for text in texts:
-            got = list(map(look, self.pieces(text)))
-            codes.fromlist(got)
-            counts.append(len(got))
-        for ids in self.encode_pieces(self.codes.fresh):
-            self.ids.fromlist(ids)
-            self.lengths.append(len(ids))
-            if digits is not None:
-                self.decimal.append(",".join(map(str, ids)).encode())
+    def of(self, texts: Sequence[str]) -> Iterator[list]:
+        """For each text what its pieces give, in order."""
+        if len(self.codes) >= self.half:
+            self.older = self.codes, self.values
+            self.codes, self.values = Codes(), []
+        look = self.codes.__getitem__
+        coded = [list(map(look, self.names(text))) for text in texts]
+        fresh, (known, was) = self.codes.fresh, self.older
+        new = [name for name in fresh if name not in known]
+        made = iter(self.encode([name[1:] if name[0] == " " else name if name[0] == "\n" else " " + name for name in new]))
+        self.values += [was[known[name]] if name in known else next(made) for name in fresh]
         self.codes.fresh = []
-        if digits is not None:
-            at, name = 0, self.decimal.__getitem__
-            for count in counts:
-                digits.append(b",".join(map(name, codes[at : at + count])))
-                at += count
-        lengths = np.array(self.lengths, dtype=np.int64)
-        starts = np.cumsum(lengths) - lengths
-        used = np.array(codes, dtype=np.int64)
-        flat = np.array(self.ids, dtype=np.int32)[ragged(starts[used], lengths[used])]
-        ends = np.concatenate([[0], np.cumsum(lengths[used])])
-        borders = ends[np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)]
-        return flat, np.diff(borders)
+        for codes in coded:
+            yield list(map(self.values.__getitem__, codes))
 
 
 @lru_cache(maxsize=2)
@@ -253,28 +241,33 @@ def table(path: str) -> BytePairTable:
 
 @lru_cache(maxsize=2)
 def backtracking_cache(path: str) -> PieceCache:
-    """One per Python worker: pieces keep their ids from batch to batch."""
+    """One per Python worker: of each piece its ids as 32-bit integers, and in decimal."""
     t = table(path)
-    return PieceCache(list(t.special), t.encode_pieces)
+
+    def encode(pieces: list[str]) -> list[tuple[bytes, bytes]]:
+        coded = map(t.encode_piece, pieces)
+        return [(np.array(ids, dtype="<i4").tobytes(), ",".join(map(str, ids)).encode()) for ids in coded]
+
+    return PieceCache(list(t.special), encode)
+
+
+def texts_ids(texts: Sequence[bytes | None], path: str) -> Iterator[tuple[np.ndarray, bytes]]:
+    """Of each text its ids, and the same in decimal, joined by commas."""
+    cache = backtracking_cache(path)
+    for at in range(0, len(texts), 256):
+        for pieces in cache.of([(x or b"").decode("utf-8") for x in texts[at : at + 256]]):
+            ids = np.frombuffer(b"".join([x for x, _ in pieces]), dtype="<i4")
+            yield ids, b",".join([digits for _, digits in pieces])
 
 
 def encode_decode(texts: list[bytes | None], path: str) -> tuple[list, list, list]:
     """Number of ids, SHA-256 of the decimal ids, SHA-256 of the text decoded from the ids."""
-    t, cache = table(path), backtracking_cache(path)
+    t = table(path)
     n, of_ids, of_text = [], [], []
-    for at in range(0, len(texts), 256):
-        strings = [(x or b"").decode("utf-8") for x in texts[at : at + 256]]
-        digits: list[bytes] = []
-        flat, counts = cache.encode(strings, digits)
-        plain = t.decode(flat)
-        p = np.concatenate([[0], np.cumsum(t.lengths[flat])])
-        e = np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)
-        for i in range(len(strings)):
-            a, b = e[i], e[i + 1]
-            text = plain[p[a] : p[b]].decode("utf-8", errors="replace")
-            n.append(int(b - a))
-            of_ids.append(hashlib.sha256(digits[i]).hexdigest())
-            of_text.append(hashlib.sha256(text.encode("utf-8")).hexdigest())
+    for ids, digits in texts_ids(texts, path):
+        n.append(len(ids))
+        of_ids.append(hashlib.sha256(digits).hexdigest())
+        of_text.append(hashlib.sha256(t.decode(ids).decode("utf-8", errors="replace").encode("utf-8")).hexdigest())
     return n, of_ids, of_text
 
 
@@ -282,11 +275,7 @@ def encode_ids(docs: DataFrame, path: str, text_col: str = "text", keep: Sequenc
     """``docs`` with ``ids`` (array<int>): the exact byte-level BPE of each text; null counts as empty."""
 
     def compute(texts):
-        out = []
-        for at in range(0, len(texts), 256):
-            flat, counts = backtracking_cache(path).encode([(x or b"").decode("utf-8") for x in texts[at : at + 256]])
-            out += np.split(flat, np.cumsum(counts)[:-1])
-        return (out,)
+        return ([ids for ids, _ in texts_ids(texts, path)],)
 
     return append_columns(docs, text_col, compute, [T.StructField("ids", T.ArrayType(T.IntegerType()))], keep)
 

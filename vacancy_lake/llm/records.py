@@ -55,17 +55,40 @@ def masked(data: bytes) -> int:
 
 
 @lru_cache(maxsize=2)
-def library_cache(path: str) -> PieceCache:
-    """Ids from the tokenizers library; a worker remembers those of pieces it has seen."""
+def library_cache(path: str, kind: str) -> PieceCache:
+    """Ids from the tokenizers library, as bytes; a worker remembers those of pieces it has seen.
+
+    New pieces that begin with a space or line feed and go on without one are joined to one text: the
+    library always cuts before them.  The ids' lengths in bytes tell which piece each belongs to.
+    """
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
     tokenizer.no_truncation()
     tokenizer.no_padding()
-
-    def encode(pieces: list[str]) -> list[list[int]]:
-        return [e.ids for e in tokenizer.encode_batch_fast(pieces, add_special_tokens=False)] if pieces else []
+    sizes = np.zeros(tokenizer.get_vocab_size(), dtype=np.int64)
+    for token, i in tokenizer.get_vocab(with_added_tokens=False).items():
+        sizes[i] = len(token)  # one letter stands for one byte
+
+    def ids_of(texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, dtype=kind) for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def encode(pieces: list[str]) -> list[bytes]:
+        out: list[bytes] = [b""] * len(pieces)
+        joined = [k for k, x in enumerate(pieces) if x[0] in " \n" and x.split() == [x[1:]]]
+        if joined:
+            own = [pieces[k].encode() for k in joined]
+            ids = ids_of([b"".join(own).decode()])[0]
+            ends = np.searchsorted(np.cumsum(sizes[ids]), np.cumsum([len(x) for x in own])) + 1
+            raw, ends = ids.tobytes(), (ends * ids.itemsize).tolist()
+            for k, a, b in zip(joined, [0, *ends], ends):
+                out[k] = raw[a:b]
+        rest = [k for k, x in enumerate(out) if not x]
+        if rest:
+            for k, ids in zip(rest, ids_of([pieces[k] for k in rest]), strict=True):
+                out[k] = ids.tobytes()
+        return out
 
     special = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
     return PieceCache(special, encode)
@@ -136,7 +159,7 @@ def write_records(
         .repartitionByRange(n, *keys)
         .sortWithinPartitions(*keys)
     )
-    kind = np.dtype("<u4" if wide else "<u2")
+    width = 4 if wide else 2
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyarrow import fs
@@ -145,7 +168,7 @@ def write_records(
         store.create_dir(root, recursive=True)
         part = TaskContext.get().partitionId()
         name = f"part-{part:06d}-{uuid.uuid4().hex}"
-        cache, end = library_cache(tokenizer_path), np.array([end_id], dtype=kind)
+        cache, end = library_cache(tokenizer_path, f"<u{width}"), end_id.to_bytes(width, "little")
         records = total = at = 0
         with store.open_output_stream(f"{root}/{name}.rec") as data, store.open_output_stream(
             f"{root}/{name}.idx"
@@ -153,14 +176,15 @@ def write_records(
             for batch in batches:
                 ids, texts = batch.column("id").to_pylist(), texts_of(batch, "text")
                 for a in range(0, len(texts), 256):
-                    flat, counts = cache.encode([(x or b"").decode("utf-8") for x in texts[a : a + 256]])
-                    each = np.split(flat.astype(kind), np.cumsum(counts)[:-1])
                     frames, entries = [], []
-                    for doc_id, own in zip(ids[a : a + 256], each, strict=True):
-                        frames.append(frame(doc_id, np.concatenate([own, end]).tobytes()))
-                        entries.append(index_entry(doc_id, at, len(own) + 1))
+                    coded = cache.of([(x or b"").decode("utf-8") for x in texts[a : a + 256]])
+                    for doc_id, pieces in zip(ids[a : a + 256], coded, strict=True):
+                        own = b"".join(pieces) + end
+                        n = len(own) // width
+                        frames.append(frame(doc_id, own))
+                        entries.append(index_entry(doc_id, at, n))
                         at += len(frames[-1])
-                        total += len(own) + 1
+                        total += n
                     data.write(b"".join(frames))
                     index.write(b"".join(entries))
                     records += len(frames)
