@@ -62,7 +62,7 @@ def test_bpe_equals_the_library_and_comes_back(spark, library):
 )
 def test_bpe_property(library, text):
     path = vocabulary("byte_bpe_50k.json")
-    flat = next(bpe.texts_ids([text.encode()], path))[0]
+    flat = next(bpe.texts_ids([text.encode()], path))
     assert flat.tolist() == ids_of(library, text)
     own = b"".join(next(records.library_cache(path, "<u2").of([text])))
     assert np.frombuffer(own, "<u2").tolist() == flat.tolist()

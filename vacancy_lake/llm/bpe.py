@@ -15,6 +15,7 @@ from __future__ import annotations
 import hashlib
 import json
 import re
+from array import array
 from collections.abc import Callable, Iterator, Sequence
 from functools import lru_cache
 
@@ -81,8 +82,14 @@ class BytePairTable:
         for i in ids.values():
             self.automaton.add_word(self.tokens[i].decode("latin-1"), i)
         self.automaton.make_automaton()
+        #: The longest token that a token begins with, itself apart; -1: none.
+        by_bytes = {self.tokens[i]: i for i in ids.values()}
+        self.shorter = [-1] * size
+        for token, i in by_bytes.items():
+            self.shorter[i] = next((by_bytes[token[:n]] for n in range(len(token) - 1, 0, -1) if token[:n] in by_bytes), -1)
+        self.decimal = [str(i).encode() for i in range(size)]
         self.compatible: dict[tuple[int, int], bool] = {}
-        self.remembered = lru_cache(maxsize=PIECE_LIMIT // 2)(lambda word: self.encode_word(word.encode()))
+        self.remembered = lru_cache(PIECE_LIMIT)(lambda word: array("i", self.encode_word(word.encode())).tobytes())
         self.split = regex.compile(PATTERN).findall
         self.cut = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
         # Decoding: all token bytes in one block, and where each id begins.
@@ -122,40 +129,35 @@ class BytePairTable:
         """Ids of one pre-token, as its merges give them."""
         if (token := self.exact.get(word)) is not None:
             return [token]
-        size, sizes, compatible = len(word), self.sizes, self.compatible
-        found: list[list[int]] = [[] for _ in range(size)]  # tokens by start, shorter before longer
+        size, sizes, compatible, shorter = len(word), self.sizes, self.compatible, self.shorter
+        longest = [0] * size  # token by start: of those found at a place the last is the longest
         for end, token in self.automaton.iter(word.decode("latin-1")):
-            found[end + 1 - sizes[token]].append(token)
+            longest[end + 1 - sizes[token]] = token
         out: list[int] = []
-        tries = [len(found[0])]  # by depth: how many of the position's tokens are left to try
         dead = set()
-        at = 0
-        while at < size:
-            here, left = found[at], tries[-1]
-            before = out[-1] if out else None
-            while left:
-                left -= 1
-                token = here[left]
-                end = at + sizes[token]
-                if end in dead:
-                    continue
-                if before is None:
-                    break
-                if (fits := compatible.get((before, token))) is None:
-                    fits = self.fits(before, token)
-                if fits:
-                    break
-            else:  # no way on from here with this neighbour
+        at, token = 0, longest[0]
+        while True:
+            if token < 0:  # no way on from here with this neighbour
                 dead.add(at)
-                tries.pop()
-                at -= sizes[out.pop()]
+                token = out.pop()
+                at -= sizes[token]
+                token = shorter[token]
                 continue
-            tries[-1] = left
+            end = at + sizes[token]
+            if end in dead:
+                token = shorter[token]
+                continue
+            if out:
+                pair = out[-1], token
+                if (fits := compatible.get(pair)) is None:
+                    fits = self.fits(*pair)
+                if not fits:
+                    token = shorter[token]
+                    continue
             out.append(token)
-            at = end
-            if at < size:
-                tries.append(len(found[at]))
-        return out
+            if end == size:
+                return out
+            at, token = end, longest[end]
 
     def whole(self, token: int) -> bool:
         """True if merging the token's own bytes gives that token."""
@@ -170,15 +172,14 @@ class BytePairTable:
         finally:
             self.merged[a, b] = known
 
-    def encode_piece(self, piece: str) -> list[int]:
-        """Ids of a piece that was cut at white space."""
+    def encode_piece(self, piece: str) -> bytes:
+        """Ids, as 32-bit integers, of a piece that was cut at white space."""
         if piece in self.special:
-            return [self.special[piece]]
-        ids: list[int] = []
-        for part in PIECES.findall(piece):
-            for word in [part] if ONE_WORD(part) else self.split(part):
-                ids += self.remembered(word)
-        return ids
+            return array("i", [self.special[piece]]).tobytes()
+        if ONE_WORD(piece):
+            return self.remembered(piece)
+        parts = [[x] if ONE_WORD(x) else self.split(x) for x in PIECES.findall(piece)]
+        return b"".join([self.remembered(word) for words in parts for word in words])
 
     def decode(self, ids: np.ndarray) -> bytes:
         """Bytes of a sequence of ids, by the offset table."""
@@ -241,31 +242,26 @@ def table(path: str) -> BytePairTable:
 
 @lru_cache(maxsize=2)
 def backtracking_cache(path: str) -> PieceCache:
-    """One per Python worker: of each piece its ids as 32-bit integers, and in decimal."""
+    """One per Python worker: of each piece its ids as 32-bit integers."""
     t = table(path)
-
-    def encode(pieces: list[str]) -> list[tuple[bytes, bytes]]:
-        coded = map(t.encode_piece, pieces)
-        return [(np.array(ids, dtype="<i4").tobytes(), ",".join(map(str, ids)).encode()) for ids in coded]
-
-    return PieceCache(list(t.special), encode)
+    return PieceCache(list(t.special), lambda pieces: list(map(t.encode_piece, pieces)))
 
 
-def texts_ids(texts: Sequence[bytes | None], path: str) -> Iterator[tuple[np.ndarray, bytes]]:
-    """Of each text its ids, and the same in decimal, joined by commas."""
+def texts_ids(texts: Sequence[bytes | None], path: str) -> Iterator[np.ndarray]:
+    """The ids of each text."""
     cache = backtracking_cache(path)
     for at in range(0, len(texts), 256):
         for pieces in cache.of([(x or b"").decode("utf-8") for x in texts[at : at + 256]]):
-            ids = np.frombuffer(b"".join([x for x, _ in pieces]), dtype="<i4")
-            yield ids, b",".join([digits for _, digits in pieces])
+            yield np.frombuffer(b"".join(pieces), dtype=np.int32)
 
 
 def encode_decode(texts: list[bytes | None], path: str) -> tuple[list, list, list]:
     """Number of ids, SHA-256 of the decimal ids, SHA-256 of the text decoded from the ids."""
     t = table(path)
     n, of_ids, of_text = [], [], []
-    for ids, digits in texts_ids(texts, path):
+    for ids in texts_ids(texts, path):
         n.append(len(ids))
+        digits = b",".join(map(t.decimal.__getitem__, ids.tolist()))
         of_ids.append(hashlib.sha256(digits).hexdigest())
         of_text.append(hashlib.sha256(t.decode(ids).decode("utf-8", errors="replace").encode("utf-8")).hexdigest())
     return n, of_ids, of_text
@@ -275,7 +271,7 @@ def encode_ids(docs: DataFrame, path: str, text_col: str = "text", keep: Sequenc
     """``docs`` with ``ids`` (array<int>): the exact byte-level BPE of each text; null counts as empty."""
 
     def compute(texts):
-        return ([ids for ids, _ in texts_ids(texts, path)],)
+        return (list(texts_ids(texts, path)),)
 
     return append_columns(docs, text_col, compute, [T.StructField("ids", T.ArrayType(T.IntegerType()))], keep)
 
