@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from vacancy_lake import schemas
+from vacancy_lake.functions import pages
 from vacancy_lake.operators import gold, ingest, ngrams, quality, silver
 from vacancy_lake.plans import medallion
 from vacancy_lake.sources import io
@@ -47,6 +48,18 @@ def test_upserts(spark):
     assert [r.k for r in ingest.pending(old, new, "k").collect()] == [1]
 
 
+def test_insert_only_passes_over_null_keys_and_repeats(spark):
+    old = spark.createDataFrame([("a", 0), (None, 1)], "k string, o int")
+    new = spark.createDataFrame([("b", 3), ("b", 2), (None, 4), ("", 5), ("a", 6), (None, 7)], "k string, o int")
+    assert sorted(ingest.insert_only(old, new, "k", ["o"]).collect(), key=lambda r: r.o) == [("a", 0), (None, 1), ("b", 2)]
+    assert tuple(ingest.insert_counts(old, new, "k").first()) == (3, 1)
+    assert ingest.insert_only(old.filter("false"), new.filter("false"), "k").count() == 0
+    runs = spark.createDataFrame([("x", None), ("x", "late"), ("y", None)], "r string, e string")
+    summary = ingest.run_summary(runs, "r", F.lit(True), F.lit(False), F.col("e"))
+    assert {(r.r, r.status, r.error) for r in summary.collect()} == {("x", "failed", "late"), ("y", "success", None)}
+    assert tuple(ingest.run_exit_code(summary).first()) == (1, 1, 1)
+
+
 def test_keep_first_drops_null_keys(spark):
     df = spark.createDataFrame([("a", 2), ("a", 1), (None, 0)], "k string, o int")
     assert [tuple(r) for r in ingest.keep_first(df, F.col("k"), ["o"]).collect()] == [("a", 1)]
@@ -118,6 +131,46 @@ def test_violation_sample(spark):
     assert len(sample) == 10 and sample[0].more == 3 and json.loads(sample[0].detail) == {"exp_max": 20}
 
 
+def test_stages_fail_alone_and_share_a_pass(spark):
+    late = quality.Checks("late", lambda df: {"x": F.count_if(F.raise_error(F.lit("late")).isNull())}, F.lit("OK"))
+    got = quality.run_stages(rows(spark, 2), {"late": late, "validity": quality.validity_checks()}).collect()
+    assert {r.stage for r in got} == {"late", "validity"}
+    assert [r.status for r in got if r.stage == "late"] == ["ERROR"] and len(got) == 7
+
+
+def test_silver_computes_each_value_once(spark):
+    merged = ingest.fill_defaults(ingest.merge_sources(*sources_full(spark)))
+    merged = spark.createDataFrame(merged.collect(), merged.schema)
+    plan = silver.to_silver(merged)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract_all") == 1 and plan.count("regexp_replace") < 15
+
+
+def test_report_is_written_once_per_run(spark, tmp_path):
+    df = rows(spark, 3, salary_min=9.0)
+    results = quality.run_stages(df, quality.stages(F.current_timestamp()))
+    for _ in range(2):
+        io.write_report(results, quality.violations(df, quality.validity_rules(), ["salary_min"]), str(tmp_path), "2026-01-02T03:04:05", "t", 3, 1)
+    day = tmp_path / "2026-01-02"
+    assert spark.read.json(str(day / "report_2026-01-02_03-04-05.json")).count() == results.count()
+    text = spark.read.text(str(day / "report_2026-01-02_03-04-05.md"))
+    assert text.filter("value LIKE '- total_records: 3'").count() == 1
+    assert spark.read.json(str(day / "violations_2026-01-02_03-04-05.json")).count() == 3
+
+
+def test_salary_places():
+    page = '<div>x <b>Mức lương</b>: 10 - 20 triệu</div><p data-salary="1">30 USD</p><i class="salary-box">Competitive</i>'
+    found = pages.salary_places(page)
+    assert found["labels"][0] == "x : 10 - 20 triệu" and found["marked"] == ["Competitive", "30 USD"]
+    assert pages.salary_places("<p>no</p>") == {"labels": [], "marked": []}
+
+
+def test_labels_of_one_page(spark):
+    page = "<div class='item'><b>Level</b><i>S</i></div><p><u>Kind</u><i>K</i></p>"
+    df = spark.createDataFrame([(1, page), (2, None), (3, "")], "k int, html string")
+    got = {r.k: (r.a, r.b) for r in pages.values_by_label(df, {"a": "Level", "b": "Kind"}, "k").collect()}
+    assert got == {1: ("S", "K"), 2: ("", ""), 3: ("", "")}
+
+
 def test_ngrams(spark):
     df = spark.createDataFrame([("Big data, big team",), ("big Data experience",), ("",), (None,)], "t string")
     got = {r.gram: r["count"] for r in ngrams.ngram_counts(df, F.col("t"), min_count=1).collect()}

@@ -8,7 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .. import vocabulary as V
-from .text import NO_WORD_AFTER, NO_WORD_BEFORE, collapse_spaces, first_contained, first_match, given, join_given, keywords_in, phrases_in, strip
+from .text import NO_WORD_AFTER, NO_WORD_BEFORE, collapse_spaces, first_contained, first_match, given, join_given, keywords_in, let, phrases_in, strip
 
 #: A prefix of locations, and separators in the order in which they are tried.
 LOCATION_PREFIX = "Việc làm tại "
@@ -17,21 +17,27 @@ SEPARATORS = [" & ", " | ", " / ", ", ", " - "]
 
 def location_part(raw: Column) -> Column:
     """The first place of a location text, without brackets; null for null or empty."""
-    text = strip(raw)
-    text = F.when(text.startswith(LOCATION_PREFIX), F.replace(text, F.lit(LOCATION_PREFIX), F.lit(""))).otherwise(text)
-    # The mark that comes first in the list, not in the text, cuts.
-    mark = F.coalesce(*[F.when(F.contains(text, F.lit(m)), F.lit(m)) for m in SEPARATORS])
-    part = F.when(mark.isNull(), text).otherwise(strip(F.split_part(text, mark, F.lit(1))))
-    return F.when(given(raw), strip(F.regexp_replace(part, r"(?U)\s*\([^)]*\)\s*", " ")))
+
+    def first_part(text: Column) -> Column:
+        text = F.when(text.startswith(LOCATION_PREFIX), F.replace(text, F.lit(LOCATION_PREFIX), F.lit(""))).otherwise(text)
+        # The mark that comes first in the list, not in the text, cuts.
+        mark = F.coalesce(*[F.when(F.contains(text, F.lit(m)), F.lit(m)) for m in SEPARATORS])
+        part = F.when(mark.isNull(), text).otherwise(strip(F.split_part(text, mark, F.lit(1))))
+        return strip(F.regexp_replace(part, r"(?U)\s*\([^)]*\)\s*", " "))
+
+    return F.when(given(raw), let(strip(raw), first_part))
 
 
 def city_of(part: Column, cities: dict[str, list[str]] | None = None) -> Column:
     """The first city one of whose names a place holds, else the place itself."""
-    low = F.lower(part)
     rules = [(F.lit(city), names) for city, names in (cities or V.CITIES).items()]
-    # Names are tried in order, city by city: one alternation of literals for each city.
-    found = [F.when(low.rlike("|".join(map(_literal, names))), city) for city, names in rules]
-    return F.coalesce(*found, part)
+
+    def first_city(place: Column) -> Column:
+        # Names are tried in order, city by city: one alternation of literals for each city.
+        found = [F.when(place["low"].rlike("|".join(map(_literal, names))), city) for city, names in rules]
+        return F.coalesce(*found, place["part"])
+
+    return let(F.struct(part.alias("part"), F.lower(part).alias("low")), first_city)
 
 
 def _literal(text: str) -> str:
@@ -45,33 +51,33 @@ def clean_location(raw: Column, cities: dict[str, list[str]] | None = None) -> C
 
 def parse_experience(raw: Column) -> Column:
     """struct(exp_min, exp_max) in whole years."""
-    text = F.lower(strip(raw))
     number = r"(\d+(?:\.\d+)?)"
-
-    def years(pattern: str, group: int = 1) -> Column:
-        return F.regexp_extract(text, pattern, group).try_cast("double").cast("int")
-
     none = F.lit(None).cast("int")
     over, under = rf"(?U)trên\s*{number}\s*năm", rf"(?U)dưới\s*{number}\s*năm"
     units, plain = rf"(?U){number}\s*[-–—]\s*{number}\s*(?:năm|year|yr)", r"(?U)(\d+)\s*[-–—]\s*(\d+)"
     one, only = rf"(?U){number}\s*(?:\+|trở lên|năm|year|yr)", rf"(?U)^{number}$"
-    open_ended = text.contains("+") | text.contains("trở lên")
 
     def pair(low: Column, high: Column) -> Column:
         return F.struct(low.alias("exp_min"), high.alias("exp_max"))
 
-    return (
-        F.when(~given(raw), pair(none, none))
-        .when(text.rlike("không yêu cầu|không|none|no experience"), pair(F.lit(0), none))
-        .when(text.rlike(over), pair(years(over), none))
-        .when(text.rlike(under), pair(F.lit(0), years(under)))
-        .when(text.rlike(units), pair(years(units), years(units, 2)))
-        .when(text.rlike(plain), pair(years(plain), years(plain, 2)))
-        .when(text.rlike(one), pair(years(one), F.when(~open_ended, years(one))))
-        .when(text.rlike(only), pair(years(only), years(only)))
-        .when(text.rlike("fresher|intern|mới ra trường"), pair(F.lit(0), F.lit(0)))
-        .otherwise(pair(none, none))
-    )
+    def parsed(text: Column) -> Column:
+        def years(pattern: str, group: int = 1) -> Column:
+            return F.regexp_extract(text, pattern, group).try_cast("double").cast("int")
+
+        open_ended = text.contains("+") | text.contains("trở lên")
+        return (
+            F.when(text.rlike("không yêu cầu|không|none|no experience"), pair(F.lit(0), none))
+            .when(text.rlike(over), pair(years(over), none))
+            .when(text.rlike(under), pair(F.lit(0), years(under)))
+            .when(text.rlike(units), pair(years(units), years(units, 2)))
+            .when(text.rlike(plain), pair(years(plain), years(plain, 2)))
+            .when(text.rlike(one), let(years(one), lambda n: pair(n, F.when(~open_ended, n))))
+            .when(text.rlike(only), let(years(only), lambda n: pair(n, n)))
+            .when(text.rlike("fresher|intern|mới ra trường"), pair(F.lit(0), F.lit(0)))
+            .otherwise(pair(none, none))
+        )
+
+    return F.when(given(raw), let(F.lower(strip(raw)), parsed)).otherwise(pair(none, none))
 
 
 def _scaled(value: Column, currency: Column) -> Column:
@@ -85,16 +91,8 @@ def parse_salary(raw: Column) -> Column:
     ``bad_number`` is true where a number token holds no digit (a comma on its own): such a record
     is rejected as a whole.
     """
-    text = strip(raw)
-    currency = F.when(F.lower(text).contains("usd"), "USD").otherwise("VND")
-    plain = F.regexp_replace(text, r"(?iu)thưởng|bonus|upto|up to|~|khoảng|tr\.|triệu|đồng|\$", "")
-    plain = F.regexp_replace(plain, r"[^0-9,.\-–—]", " ")
-    tokens = F.regexp_extract_all(plain, F.lit(r"([\d,]+\.?\d*)"), F.lit(1))
-    numbers = F.transform(tokens, lambda t: F.replace(t, F.lit(","), F.lit("")).try_cast("double"))
-    bad = F.exists(numbers, lambda v: v.isNull())
     none, no = F.lit(None).cast("double"), F.lit(False)
     until = r"(?iuU)tới\s*([\d,]+)\s*(?:triệu|m|milion)?"
-    until_value = F.replace(F.regexp_extract(text, until, 1), F.lit(","), F.lit("")).try_cast("double")
 
     def made(low: Column, high: Column, unit: Column, negotiable: Column, wrong: Column = no) -> Column:
         return F.struct(
@@ -106,21 +104,40 @@ def parse_salary(raw: Column) -> Column:
         )
 
     unit = F.lit(None).cast("string")
-    return (
-        F.when(~given(raw), made(none, none, unit, no))
-        .when(text.rlike("(?iu)thoả thuận|thương lượng|negotiable|négociable"), made(none, none, unit, F.lit(True)))
-        .when((F.size(tokens) == 0) & text.rlike(until), made(none, _scaled(until_value, currency), currency, no))
-        .when(F.size(tokens) == 0, made(none, none, unit, F.lit(True)))
-        .when(bad, made(none, none, unit, no, F.lit(True)))
-        .otherwise(
-            made(
-                F.when(F.size(numbers) > 1, _scaled(F.array_min(numbers), currency)),
-                _scaled(F.array_max(numbers), currency),
-                currency,
-                no,
+
+    def number_of(token: Column) -> Column:
+        return F.replace(token, F.lit(","), F.lit("")).try_cast("double")
+
+    def numbers_in(text: Column) -> Column:
+        plain = F.regexp_replace(text, r"(?iu)thưởng|bonus|upto|up to|~|khoảng|tr\.|triệu|đồng|\$", "")
+        plain = F.regexp_replace(plain, r"[^0-9,.\-–—]", " ")
+        return F.transform(F.regexp_extract_all(plain, F.lit(r"([\d,]+\.?\d*)"), F.lit(1)), number_of)
+
+    def parsed(text: Column) -> Column:
+        currency = F.when(F.lower(text).contains("usd"), "USD").otherwise("VND")
+
+        def of_numbers(numbers: Column) -> Column:
+            return (
+                F.when(
+                    (F.size(numbers) == 0) & text.rlike(until),
+                    made(none, _scaled(number_of(F.regexp_extract(text, until, 1)), currency), currency, no),
+                )
+                .when(F.size(numbers) == 0, made(none, none, unit, F.lit(True)))
+                .when(F.exists(numbers, lambda v: v.isNull()), made(none, none, unit, no, F.lit(True)))
+                .otherwise(
+                    made(
+                        F.when(F.size(numbers) > 1, _scaled(F.array_min(numbers), currency)),
+                        _scaled(F.array_max(numbers), currency),
+                        currency,
+                        no,
+                    )
+                )
             )
-        )
-    )
+
+        open_to_talk = text.rlike("(?iu)thoả thuận|thương lượng|negotiable|négociable")
+        return F.when(open_to_talk, made(none, none, unit, F.lit(True))).otherwise(let(numbers_in(text), of_numbers))
+
+    return F.when(given(raw), let(strip(raw), parsed)).otherwise(made(none, none, unit, no))
 
 
 def extract_skills(
@@ -143,25 +160,25 @@ def extract_domains(
 
 def normalize_role(title: Column, rules: list[tuple[str, str]] = V.ROLES) -> Column:
     """First role whose pattern the title holds; null if none."""
-    return F.when(given(title), first_match(F.lower(title), rules))
+    return F.when(given(title), let(F.lower(title), lambda low: first_match(low, rules)))
 
 
 def derive_seniority(title: Column, exp_min: Column) -> Column:
     """By the title, else by years; Unknown if neither tells; null without title and years."""
     by_years = F.coalesce(*[F.when(exp_min.between(low, high), F.lit(name)) for low, high, name in V.YEARS])
-    by_title = F.when(given(title), first_match(F.lower(title), V.SENIORITY))
+    by_title = F.when(given(title), let(F.lower(title), lambda low: first_match(low, V.SENIORITY)))
     return F.when(given(title) | exp_min.isNotNull(), F.coalesce(by_title, by_years, F.lit("Unknown")))
 
 
 def derive_work_mode(working_time: Column, description: Column, requirements: Column) -> Column:
     """struct(work_mode, job_work_from_home); Onsite by default."""
-    text = join_given(working_time, description, requirements)
 
     def mode(name: str, home: bool) -> Column:
         return F.struct(F.lit(name).alias("work_mode"), F.lit(home).alias("job_work_from_home"))
 
     rules = [(k, mode(name, home)) for k, name, home in V.WORK_MODES]
-    return F.coalesce(first_contained(text, rules), mode("Onsite", False))
+    found = let(join_given(working_time, description, requirements), lambda text: first_contained(text, rules))
+    return F.coalesce(found, mode("Onsite", False))
 
 
 def schedule_type(job_type: Column) -> Column:

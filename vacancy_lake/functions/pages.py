@@ -9,9 +9,10 @@ from html.parser import HTMLParser
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .normalise import is_salary_text, parse_salary_with_unit
-from .text import collapse_spaces, given
+from .text import collapse_spaces, given, let
 
 ENTITIES = {"&nbsp;": " ", "&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&amp;": "&"}
 
@@ -72,7 +73,9 @@ def job_posting(html: Column) -> Column:
     return F.try_element_at(wanted, F.lit(1))
 
 
-def _salary(text: Column, low: Column, high: Column, currency: Column, unit: Column, source: str) -> Column:
+def _salary(
+    text: Column, low: Column, high: Column, currency: Column, unit: Column, source: str, negotiable: Column | bool = False
+) -> Column:
     return F.struct(
         text.alias("salary_text"),
         low.alias("salary_min"),
@@ -80,11 +83,12 @@ def _salary(text: Column, low: Column, high: Column, currency: Column, unit: Col
         currency.alias("currency"),
         unit.alias("unit"),
         F.lit(source).alias("salary_source"),
+        (negotiable if isinstance(negotiable, Column) else F.lit(negotiable)).alias("is_negotiable"),
     )
 
 
 def salary_from_json_ld(html: Column) -> Column:
-    """struct(salary_text, salary_min, salary_max, currency, unit, salary_source) or null."""
+    """struct(salary_text, salary_min, salary_max, currency, unit, salary_source, is_negotiable) or null."""
     posting = job_posting(html)
 
     def field(*paths: str) -> Column:
@@ -115,32 +119,67 @@ SALARY_PATTERN = (
 )
 
 
+#: Labels of a salary with the tags that may hold them, and marks of salary elements.
+SALARY_LABELS = [(t, "Mức lương") for t in ("strong", "b", "span", "div")] + [(t, "Salary") for t in ("strong", "b", "span")]
+SALARY_CLASSES = ["salary-box", "job-salary", "base-salary", "salary-range"]
+
+
+def salary_places(html: str) -> dict[str, list[str]]:
+    """Texts that may be a salary: what stands around a label in its parent, for each kind of label
+    the first; the first element of each salary class and of each salary attribute."""
+    tree = _Tree(html)
+    nodes = range(1, len(tree.nodes))
+    around = []
+    for tag, label in SALARY_LABELS:
+        at = next((k for k in nodes if tree.nodes[k]["tag"] == tag and label in tree.text(k)), None)
+        if at is not None:
+            whole, own = tree.text(tree.nodes[at]["parent"]), tree.text(at)
+            around.append(whole.replace(own, "", 1).strip())
+    marks = [lambda n, c=c: c in n["class"].split() for c in SALARY_CLASSES]
+    marks += [lambda n: "salary" in n["attrs"].get("data-controller", ""), lambda n: "data-salary" in n["attrs"]]
+    marked = [next((tree.text(k) for k in nodes if fits(tree.nodes[k])), "") for fits in marks]
+    return {"labels": [x for x in around if x], "marked": [x for x in marked if x]}
+
+
+PLACES = T.StructType([T.StructField(c, T.ArrayType(T.StringType())) for c in ("labels", "marked")])
+
+
+@F.pandas_udf(PLACES)
+def _salary_places(html: pd.Series) -> pd.DataFrame:
+    return pd.DataFrame([salary_places(x) if x else {"labels": [], "marked": []} for x in html], columns=["labels", "marked"])
+
+
 def _checked(text: Column, source: str) -> Column:
     """A text as a salary if it can be one, else null."""
-    p = parse_salary_with_unit(text)
-    low, high = p["salary_min"], p["salary_max"]
-    made = _salary(F.substring(text, 1, 100), low, high, p["currency"], p["unit"], source)
-    return F.when(is_salary_text(text, low, high), made)
+
+    def made(p: Column) -> Column:
+        low, high = p["salary_min"], p["salary_max"]
+        own = False if source == "html-pattern" else p["is_negotiable"]
+        found = _salary(F.substring(text, 1, 100), low, high, p["currency"], p["unit"], source, own)
+        return F.when(is_salary_text(text, low, high), found)
+
+    return let(parse_salary_with_unit(text), made)
 
 
 def salary_from_html(html: Column) -> Column:
-    """By a salary label, a salary class, then a pattern in the body; the first that can be a salary."""
-    label = F.regexp_extract(
-        html, r"(?is)<(?:strong|b|span)[^>]*>\s*(?:mức lương|salary)[^<]*</(?:strong|b|span)>(.*?)</(?:p|div|li|td)>", 1
-    )
-    by_class = F.regexp_extract(
-        html, r'(?is)class="[^"]*(?:salary-box|job-salary|base-salary|salary-range)[^"]*"[^>]*>(.*?)</', 1
-    )
+    """By a salary label, a salary class or attribute, then a pattern in the body; the first that can
+    be a salary.  Only pages that hold one of the marks are parsed, in Arrow batches."""
+    marked = html.rlike("Mức lương|Salary|salary-|data-controller|data-salary")
+    places = _salary_places(F.when(marked, html))
     found = F.regexp_extract_all(visible_text(html), F.lit(SALARY_PATTERN), F.lit(0))
-    first = F.try_element_at(F.filter(F.transform(found, lambda t: _checked(F.trim(t), "html-pattern")), lambda s: s.isNotNull()), F.lit(1))
-    return F.coalesce(_checked(inner_text(label), "html-label"), _checked(inner_text(by_class), "html-class"), first)
+
+    def first(texts: Column, source: str) -> Column:
+        checked = F.filter(F.transform(texts, lambda t: _checked(F.trim(t), source)), lambda s: s.isNotNull())
+        return F.try_element_at(checked, F.lit(1))
+
+    return F.coalesce(first(places["labels"], "html-label"), first(places["marked"], "html-class"), first(found, "html-pattern"))
 
 
 def salary_of_page(html: Column) -> Column:
     """JSON-LD, then HTML, then a remark that it is competitive."""
     offered = visible_text(html).rlike("(?iu)cạnh tranh|competitive|thoả thuận|negotiable")
     none, text = F.lit(None).cast("double"), F.lit(None).cast("string")
-    remark = F.when(offered, _salary(F.lit("Competitive"), none, none, text, text, "text-competitive"))
+    remark = F.when(offered, _salary(F.lit("Competitive"), none, none, text, text, "text-competitive", True))
     nothing = _salary(F.lit(""), none, none, text, text, "none")
     return F.coalesce(salary_from_json_ld(html), salary_from_html(html), remark, nothing)
 
@@ -175,6 +214,7 @@ def experience_snippet(html: Column) -> Column:
 def brand_description(html: Column) -> Column:
     """Description of pages without the usual structure: a heading's section, a described block, or
     the text before the requirements; each only if it is long enough."""
+    # Headings of a description, class names of its block.
     section = F.coalesce(*[F.nullif(section_after(html, h, "1234"), F.lit("")) for h in ("mô tả", "mo ta", "job description")])
     block = inner_text(F.regexp_extract(html, r'(?is)class="[^"]*(?:description|job-content|detail-content)[^"]*"[^>]*>(.*?)</(?:div|section)>', 1))
     main = inner_text(F.regexp_extract(html, r"(?is)<main[^>]*>(.*?)</main>", 1))
@@ -234,6 +274,14 @@ class _Tree(HTMLParser):
                 todo.extend(reversed(self.nodes[at]["text"]))
         return re.sub(r"\s+", " ", "".join(out)).strip()
 
+    def of_letters(self, n: int) -> list[int]:
+        """Nodes whose text has ``n`` characters that are no white space, counted from the leaves up."""
+        size = [0] * len(self.nodes)
+        for k in range(len(self.nodes) - 1, 0, -1):  # a node comes before those inside it
+            size[k] += sum(len("".join(x.split())) for x in self.nodes[k]["text"] if isinstance(x, str))
+            size[self.nodes[k]["parent"]] += size[k]
+        return [k for k in range(1, len(size)) if size[k] == n]
+
     def below(self, k: int) -> list[int]:
         out, todo = [], list(reversed(self.nodes[k]["kids"]))
         while todo:
@@ -243,13 +291,12 @@ class _Tree(HTMLParser):
         return out
 
 
-def label_value(html: str, label: str) -> str:
+def label_value(tree: _Tree, label: str) -> str:
     """Value that a label element introduces: its next sibling, a value element or bare text of its
     item, or the rest of the label's own text."""
-    tree = _Tree(html)
     named = [k for k in range(1, len(tree.nodes)) if tree.nodes[k]["tag"] in ("strong", "b") or "label" in tree.nodes[k]["class"]]
     found = [k for k in named if label in tree.text(k)] or [
-        k for k in range(1, len(tree.nodes)) if tree.text(k) == label
+        k for k in tree.of_letters(len("".join(label.split()))) if tree.text(k) == label
     ]
     if not found:
         return ""
@@ -277,8 +324,8 @@ def values_by_label(pages: DataFrame, labels: dict[str, str], key: str, html: st
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
-            texts = f[html].fillna("")
-            yield pd.DataFrame({key: f[key]} | {c: [label_value(t, x) for t in texts] for c, x in labels.items()})
+            found = [[label_value(tree, x) for x in labels.values()] for tree in map(_Tree, f[html].fillna(""))]
+            yield pd.DataFrame({key: f[key]} | {c: [row[k] for row in found] for k, c in enumerate(labels)})
 
     return pages.select(key, html).mapInPandas(run, schema)
 
@@ -329,6 +376,7 @@ def listing_cards(pages: DataFrame, card: str, base_url: str, key: str, html: st
 
 def job_sections(html: Column) -> Column:
     """struct(description, requirements, benefits) by their headings, description else by class."""
+    # Headings of each section, in order.
     names = {
         "description": ["job description", "mô tả công việc", "about the role", "về vị trí", "chi tiết công việc", "about this role"],
         "requirements": ["your skills and experience", "requirements", "yêu cầu", "what you need", "yêu cầu ứng viên", "qualifications"],

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -13,6 +13,12 @@ NO_WORD_BEFORE, NO_WORD_AFTER = r"(?<![\p{L}\p{N}_])", r"(?![\p{L}\p{N}_])"
 NO_ALNUM_BEFORE, NO_ALNUM_AFTER = "(?<![a-zA-Z0-9])", "(?![a-zA-Z0-9])"
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that it uses many times: as a lambda's variable it is computed once, where
+    the optimizer would put a column's expression in every place that names it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def strip(c: Column) -> Column:
     """Without Unicode white space at both ends."""
     return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
@@ -56,6 +62,11 @@ def keyword_pattern(keyword: str, unicode_borders: bool = False) -> str:
     return NO_ALNUM_BEFORE + inner + NO_ALNUM_AFTER
 
 
+def holds_keyword(text: Column, keyword: str, pattern: str) -> Column:
+    """True if ``pattern`` of a literal keyword is found; most texts end at its first word already."""
+    return text.contains(keyword.split(" ")[0]) & text.rlike(pattern)
+
+
 def keywords_in(text: Column, vocabulary: Iterable[str]) -> Column:
     """Sorted distinct keywords of ``vocabulary`` that stand in the lower-cased ``text`` between
     characters other than ASCII letters and digits.
@@ -66,19 +77,27 @@ def keywords_in(text: Column, vocabulary: Iterable[str]) -> Column:
     words = sorted(set(vocabulary))
     plain = [w for w in words if re.fullmatch("[a-z0-9]+", w)]
     rest = [w for w in words if w not in set(plain)]
-    parts = [F.array_compact(F.array(*[F.when(text.rlike(keyword_pattern(w)), F.lit(w)) for w in rest]))] if rest else []
-    if plain:
-        tokens = F.split(text, "[^a-z0-9]+")
-        parts.append(F.array_intersect(tokens, F.array(*map(F.lit, plain))))
-    found = F.concat(*parts) if parts else F.array().cast("array<string>")
-    return F.coalesce(F.array_sort(found), F.array().cast("array<string>"))
+
+    def found(text: Column) -> Column:
+        parts = [F.array_compact(F.array(*[F.when(holds_keyword(text, w, keyword_pattern(w)), F.lit(w)) for w in rest]))] if rest else []
+        if plain:
+            parts.append(F.array_intersect(F.split(text, "[^a-z0-9]+"), F.array(*map(F.lit, plain))))
+        return F.array_sort(F.concat(*parts))
+
+    none = F.array().cast("array<string>")
+    return F.coalesce(let(text, found), none) if words else none
 
 
 def phrases_in(text: Column, vocabulary: Iterable[str]) -> Column:
     """Sorted distinct keywords that stand in the lower-cased ``text`` as whole Unicode words."""
     words = sorted(set(vocabulary))
-    found = [F.when(text.rlike(NO_WORD_BEFORE + w + NO_WORD_AFTER), F.lit(w)) for w in words]
-    return F.coalesce(F.array_sort(F.array_compact(F.array(*found))), F.array().cast("array<string>"))
+
+    def found(text: Column) -> Column:
+        each = [F.when(holds_keyword(text, w, NO_WORD_BEFORE + re.escape(w) + NO_WORD_AFTER), F.lit(w)) for w in words]
+        return F.array_sort(F.array_compact(F.array(*each)))
+
+    none = F.array().cast("array<string>")
+    return F.coalesce(let(text, found), none) if words else none
 
 
 def first_contained(text: Column, rules: Iterable[tuple[str, Column]]) -> Column:

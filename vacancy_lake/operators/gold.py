@@ -3,30 +3,34 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 
-def mode_of(df: DataFrame, column: str, name: str) -> DataFrame:
-    """The most frequent value (of equals the smallest); one row, null if there is none."""
-    counted = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("n"))
-    return counted.agg(F.min_by(column, F.struct(-F.col("n"), F.col(column))).alias(name))
-
-
-def side_by_side(*rows: DataFrame) -> DataFrame:
-    """Frames of one row each, with columns of their own, as one row: stacked, then folded."""
-    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), rows)
-    return stacked.agg(*[F.max(c).alias(c) for c in stacked.columns])
-
-
 def metrics(silver: DataFrame) -> DataFrame:
-    """total_jobs, avg_salary_max, top_role, top_location: one row."""
-    totals = silver.agg(F.count("*").alias("total_jobs"), F.avg("salary_max").alias("avg_salary_max"))
-    return side_by_side(
-        totals, mode_of(silver, "normalized_role", "top_role"), mode_of(silver, "location_clean", "top_location")
+    """total_jobs, avg_salary_max, top_role, top_location: one row.
+
+    One scan: sums for the table, each role and each location (grouping sets), then the totals and
+    the most frequent values (of equals the smallest) of those few rows.
+    """
+    names = {"normalized_role": "top_role", "location_clean": "top_location"}
+    rows = silver.select("salary_max", *names)
+    counted = rows.groupingSets([[], *[[c] for c in names]], *names).agg(
+        F.grouping_id().alias("set"), F.count("*").alias("n"), F.avg("salary_max").alias("mean")
+    )
+    # A column's bit in the grouping id is set where the column is not grouped by.
+    full = (1 << len(names)) - 1
+    tops = []
+    for k, (c, name) in enumerate(names.items()):
+        own = (F.col("set") == full - (1 << (len(names) - 1 - k))) & F.col(c).isNotNull()
+        tops.append(F.min_by(c, F.when(own, F.struct(-F.col("n"), F.col(c)))).alias(name))
+    whole = F.col("set") == full
+    return counted.agg(
+        F.coalesce(F.max(F.when(whole, F.col("n"))), F.lit(0)).alias("total_jobs"),
+        F.max(F.when(whole, F.col("mean"))).alias("avg_salary_max"),
+        *tops,
     )
 
 

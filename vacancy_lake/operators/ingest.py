@@ -89,14 +89,22 @@ def keep_first(df: DataFrame, key: Column, order: Sequence[str]) -> DataFrame:
     return keyed.withColumn("__n", first).filter("__n = 1").drop("__n", "__key")
 
 
-def insert_only(existing: DataFrame, new: DataFrame, key: str) -> DataFrame:
-    """Existing rows as they are, and the new ones whose key is new."""
-    return existing.unionByName(new.join(existing.select(key), key, "left_anti"), allowMissingColumns=True)
+def has_key(key: str) -> Column:
+    return F.col(key).isNotNull() & (F.col(key).cast("string") != "")
+
+
+def insert_only(existing: DataFrame, new: DataFrame, key: str, order: Sequence[str] | None = None) -> DataFrame:
+    """Existing rows as they are, and of each key that they lack the first new row by ``order`` (None:
+    by all columns).  New rows with a null or empty key are left out."""
+    added = new.filter(has_key(key)).join(existing.select(key), key, "left_anti")
+    added = keep_first(added, F.col(key), order or [c for c in new.columns if c != key] or [key])
+    return existing.unionByName(added, allowMissingColumns=True)
 
 
 def insert_counts(existing: DataFrame, new: DataFrame, key: str) -> DataFrame:
     """total, added of insert_only: one row."""
-    added = new.join(existing.select(key), key, "left_anti").select(F.lit(1).alias("added"))
+    keys = new.filter(has_key(key)).select(key).distinct()
+    added = keys.join(existing.select(key), key, "left_anti").select(F.lit(1).alias("added"))
     marks = existing.select(F.lit(0).alias("added")).unionByName(added)
     return marks.agg(F.count("*").alias("total"), F.coalesce(F.sum("added"), F.lit(0)).alias("added"))
 
@@ -150,13 +158,29 @@ def overlay_matched(listed: DataFrame, detail: DataFrame, key: str) -> DataFrame
     return joined.withColumn("salary_hidden", hidden)
 
 
-def run_summary(runs: DataFrame, by: str, added: Column, found: Column) -> DataFrame:
-    """found, added, total, share of found per group."""
+def run_summary(runs: DataFrame, by: str, added: Column, found: Column, error: Column | None = None) -> DataFrame:
+    """found, added, total, share of found, status and error per group.
+
+    A group is ``failed`` if any of its rows has an ``error``, and shows the smallest; else ``success``.
+    """
+    wrong = F.min(F.lit(None).cast("string") if error is None else error)
     return runs.groupBy(by).agg(
         F.count_if(found).alias("found"),
         F.count_if(added).alias("added"),
         F.count("*").alias("total"),
         (F.count_if(found) / F.count("*")).alias("found_share"),
+        F.when(wrong.isNull(), "success").otherwise("failed").alias("status"),
+        wrong.alias("error"),
+    )
+
+
+def run_exit_code(summary: DataFrame) -> DataFrame:
+    """succeeded, failed (groups) and exit_code (1 if any failed): one row."""
+    failed = F.count_if(F.col("status") == "failed")
+    return summary.agg(
+        F.count_if(F.col("status") == "success").alias("succeeded"),
+        failed.alias("failed"),
+        F.when(failed > 0, 1).otherwise(0).alias("exit_code"),
     )
 
 

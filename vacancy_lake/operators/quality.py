@@ -1,4 +1,4 @@
-"""Data quality: five stages of checks, each stage one conditional aggregation over the table.
+"""Data quality: five stages of checks.  Those that only count rows share one aggregation over the table.
 
 A stage gives one row per check: stage, check, count (of violations, or of good values), total,
 percentage, status.  A check whose columns are missing counts nothing.
@@ -7,6 +7,7 @@ percentage, status.  A check whose columns are missing counts nothing.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -16,21 +17,16 @@ from pyspark.sql.window import Window
 
 from .. import vocabulary as V
 from ..functions.text import is_blank
-from .gold import side_by_side
 
 OK, WARNING, ERROR = "OK", "WARNING", "ERROR"
 RESULT = ["stage", "check", "count", "total", "percentage", "status"]
 
 
-def _long(df: DataFrame, stage: str, counts: dict[str, Column], total: Column | None = None) -> DataFrame:
-    """One pass: every count is a column of one row, which is then turned into a row per check.
-    An empty table has no results."""
-    total = F.count("*") if total is None else total
-    row = df.agg(*[c.alias(f"c{k}") for k, c in enumerate(counts.values())], total.alias("total"))
-    checks = F.array(
-        *[F.struct(F.lit(n).alias("check"), F.col(f"c{k}").cast("long").alias("count")) for k, n in enumerate(counts)]
-    )
-    return row.filter("total > 0").select(F.lit(stage).alias("stage"), F.inline(checks), "total")
+def _long(df: DataFrame, stage: str, row: dict[str, Column], total: Column) -> DataFrame:
+    """A row per check from one row of counts; no results if ``total`` is 0."""
+    checks = [F.struct(F.lit(n).alias("check"), c.cast("long").alias("count")) for n, c in row.items()]
+    long = df.filter(total > 0)
+    return long.select(F.lit(stage).alias("stage"), F.inline(F.array(*checks)), total.alias("total"))
 
 
 def _finished(df: DataFrame, status: Column) -> DataFrame:
@@ -38,6 +34,26 @@ def _finished(df: DataFrame, status: Column) -> DataFrame:
     return df.withColumn("percentage", percentage).withColumn("status", status).select(*RESULT)
 
 
+@dataclass(frozen=True)
+class Checks:
+    """A stage whose checks count rows: counts for a table's columns, status by count and total."""
+
+    stage: str
+    counts: Callable[[DataFrame], dict[str, Column]]
+    status: Column
+
+    def counted(self, df: DataFrame) -> list[Column]:
+        return [c.alias(f"{self.stage}.{n}") for n, c in self.counts(df).items()]
+
+    def of(self, row: DataFrame, df: DataFrame) -> DataFrame:
+        """Results from a row that holds ``counted`` and the total."""
+        checks = {n: F.col(f"`{self.stage}.{n}`") for n in self.counts(df)}
+        return _finished(_long(row, self.stage, checks, F.col("total")), self.status)
+
+    def __call__(self, df: DataFrame) -> DataFrame:
+        return self.of(df.agg(*self.counted(df), F.count("*").alias("total")), df)
+
+
 # --- completeness -------------------------------------------------------------------------------
 
 
@@ -59,19 +75,22 @@ FIELDS = ["title", "company", "location_clean", "normalized_role", "salary_min",
 LOWER_ERROR = {"salary_min": 0.25, "salary_max": 0.25}
 
 
-def completeness(
-    df: DataFrame,
+def completeness_checks(
     fields: Sequence[str] = FIELDS,
     warn: float = 0.95,
     error: float = 0.80,
     overrides: dict[str, float] = LOWER_ERROR,
-) -> DataFrame:
+) -> Checks:
     """Share of good values per field against a warning and an error threshold."""
-    counts = {f: F.count_if(present(df, f)) for f in fields}
     share = F.col("count") / F.col("total")
     least = F.coalesce(*[F.when(F.col("check") == f, F.lit(x)) for f, x in overrides.items()], F.lit(error))
     status = F.when(share >= warn, OK).when(share >= least, WARNING).otherwise(ERROR)
-    return _finished(_long(df, "completeness", counts), status)
+    return Checks("completeness", lambda df: {f: F.count_if(present(df, f)) for f in fields}, status)
+
+
+def completeness(df: DataFrame, *args, **kwargs) -> DataFrame:
+    """Results of ``completeness_checks``."""
+    return completeness_checks(*args, **kwargs)(df)
 
 
 # --- rules: validity and accuracy ---------------------------------------------------------------
@@ -128,17 +147,27 @@ def _violations(df: DataFrame, rules: Rules) -> dict[str, Column]:
     }
 
 
-def validity(df: DataFrame, warn: int = 5, error: int = 15) -> DataFrame:
+def validity_checks(warn: int = 5, error: int = 15) -> Checks:
     """Rows with impossible values; status by number of rows."""
     n = F.col("count")
     status = F.when(n <= warn, OK).when(n <= error, WARNING).otherwise(ERROR)
-    return _finished(_long(df, "validity", _violations(df, validity_rules())), status)
+    return Checks("validity", lambda df: _violations(df, validity_rules()), status)
+
 
+def validity(df: DataFrame, *args, **kwargs) -> DataFrame:
+    """Results of ``validity_checks``."""
+    return validity_checks(*args, **kwargs)(df)
 
-def accuracy(df: DataFrame, vnd: float = 500.0, usd: float = 20000.0, years: int = 15) -> DataFrame:
+
+def accuracy_checks(vnd: float = 500.0, usd: float = 20000.0, years: int = 15) -> Checks:
     """Rows with contradictions and outliers; any of them is a warning."""
-    counts = _violations(df, accuracy_rules(vnd, usd, years))
-    return _finished(_long(df, "accuracy", counts), F.when(F.col("count") == 0, OK).otherwise(WARNING))
+    status = F.when(F.col("count") == 0, OK).otherwise(WARNING)
+    return Checks("accuracy", lambda df: _violations(df, accuracy_rules(vnd, usd, years)), status)
+
+
+def accuracy(df: DataFrame, *args, **kwargs) -> DataFrame:
+    """Results of ``accuracy_checks``."""
+    return accuracy_checks(*args, **kwargs)(df)
 
 
 # --- uniqueness ---------------------------------------------------------------------------------
@@ -160,37 +189,46 @@ def role_mismatch(role: Column, title: Column, words: dict[str, list[str]] = V.R
 
 
 def uniqueness(df: DataFrame, warn_duplicates: int = 2, warn_consistency: int = 5) -> DataFrame:
-    """Repeated job URLs (distinct ones), and titles that do not go with their role."""
-    if "job_url" in df.columns:
-        twice = duplicate_keys(df, "job_url").agg(F.count("*").alias("duplicate_job_url"))
-    else:
-        twice = df.sparkSession.range(1).select(F.lit(0).alias("duplicate_job_url"))
+    """Repeated job URLs (distinct ones), and titles that do not go with their role: one pass, one
+    shuffle of partial counts by URL."""
+    url = F.col("job_url") if "job_url" in df.columns else F.lit(None).cast("string")
+    wrong = F.lit(False)
     if {"job_url", "title", "normalized_role"} <= set(df.columns):
-        wrong = F.count_if(role_mismatch(F.col("normalized_role"), F.col("title")).isNotNull())
-    else:
-        wrong = F.count_if(F.lit(False))
-    row = side_by_side(df.agg(F.count("*").alias("total"), wrong.alias("role_title_consistency")), twice)
-    checks = ["duplicate_job_url", "role_title_consistency"]
-    counts = F.array(*[F.struct(F.lit(c).alias("check"), F.col(c).cast("long").alias("count")) for c in checks])
-    long = row.filter("total > 0").select(F.lit("uniqueness").alias("stage"), F.inline(counts), "total")
-    limit = F.when(F.col("check") == checks[0], warn_duplicates).otherwise(warn_consistency)
-    return _finished(long, F.when(F.col("count") > limit, WARNING).otherwise(OK))
+        wrong = role_mismatch(F.col("normalized_role"), F.col("title")).isNotNull()
+    by_url = df.select(url.alias("url"), wrong.alias("wrong")).groupBy("url").agg(
+        F.count("*").alias("n"), F.count_if("wrong").alias("wrong")
+    )
+    row = by_url.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("total"),
+        F.count_if(F.col("url").isNotNull() & (F.col("n") > 1)).alias("duplicate_job_url"),
+        F.sum("wrong").alias("role_title_consistency"),
+    )
+    checks = {c: F.col(c) for c in ("duplicate_job_url", "role_title_consistency")}
+    limit = F.when(F.col("check") == "duplicate_job_url", warn_duplicates).otherwise(warn_consistency)
+    return _finished(_long(row, "uniqueness", checks, F.col("total")), F.when(F.col("count") > limit, WARNING).otherwise(OK))
 
 
 # --- timeliness ---------------------------------------------------------------------------------
 
 
-def timeliness(df: DataFrame, as_of: Column, days: int = 30, warn_share: float = 20.0, column: str = "crawled_at") -> DataFrame:
+def timeliness_checks(as_of: Column, days: int = 30, warn_share: float = 20.0, column: str = "crawled_at") -> Checks:
     """Rows crawled over ``days`` before ``as_of``; unknown times are not stale but count in the total."""
-    if column in df.columns:
+
+    def counts(df: DataFrame) -> dict[str, Column]:
+        if column not in df.columns:
+            return {"stale_records": F.count_if(F.lit(False))}
         ts = F.col(column)
         if isinstance(df.schema[column].dataType, T.StringType):
             ts = F.try_to_timestamp(ts)
-        stale = F.count_if(ts < as_of - F.expr(f"INTERVAL {days} DAYS"))
-    else:
-        stale = F.count_if(F.lit(False))
+        return {"stale_records": F.count_if(ts < as_of - F.expr(f"INTERVAL {days} DAYS"))}
+
     share = F.col("count") * 100.0 / F.col("total")
-    return _finished(_long(df, "timeliness", {"stale_records": stale}), F.when(share > warn_share, WARNING).otherwise(OK))
+    return Checks("timeliness", counts, F.when(share > warn_share, WARNING).otherwise(OK))
+
+
+def timeliness(df: DataFrame, *args, **kwargs) -> DataFrame:
+    """Results of ``timeliness_checks``."""
+    return timeliness_checks(*args, **kwargs)(df)
 
 
 # --- runner -------------------------------------------------------------------------------------
@@ -201,31 +239,45 @@ Stage = Callable[[DataFrame], DataFrame]
 def stages(as_of: Column) -> dict[str, Stage]:
     """The registry of stages, with default thresholds."""
     return {
-        "completeness": completeness,
-        "validity": validity,
-        "accuracy": accuracy,
+        "completeness": completeness_checks(),
+        "validity": validity_checks(),
+        "accuracy": accuracy_checks(),
         "uniqueness": uniqueness,
-        "timeliness": lambda df: timeliness(df, as_of),
+        "timeliness": timeliness_checks(as_of),
     }
 
 
+RESULT_SCHEMA = "stage string, check string, count long, total long, percentage double, status string"
+
+
 def run_stages(df: DataFrame, registry: dict[str, Stage], names: Sequence[str] | None = None) -> DataFrame:
     """Results of the named stages (None: all).  Unknown names are left out; ValueError if none is left.
 
-    A stage that cannot be planned gives a row of status ERROR; the others still run.
+    The stages run here: a few rows each.  Those that only count rows run in one pass; if it fails,
+    each runs alone.  A stage that fails, planned or running, gives a row of status ERROR, and the
+    others still have their results.
     """
     chosen = [n for n in (registry if names is None else names) if n in registry]
     if not chosen:
         raise ValueError("no known stage is named")
-    parts = []
+    rows: dict[str, list] = {}
+    shared = [n for n in chosen if isinstance(registry[n], Checks)]
+    if len(shared) > 1:
+        try:
+            counts = [c for n in shared for c in registry[n].counted(df)]
+            counted = df.agg(*counts, F.count("*").alias("total"))
+            row = df.sparkSession.createDataFrame([counted.first()], counted.schema)
+            rows = {n: [tuple(r) for r in registry[n].of(row, df).collect()] for n in shared}
+        except Exception:  # noqa: BLE001  which stage it was shows when each runs alone
+            rows = {}
     for name in chosen:
+        if name in rows:
+            continue
         try:
-            parts.append(registry[name](df))
+            rows[name] = [tuple(r) for r in registry[name](df).select(*RESULT).collect()]
         except Exception as e:  # noqa: BLE001  a stage's failure is a result
-            failed = [(name, f"failed: {type(e).__name__}", 0, 0, None, ERROR)]
-            schema = "stage string, check string, count long, total long, percentage double, status string"
-            parts.append(df.sparkSession.createDataFrame(failed, schema))
-    return reduce(DataFrame.unionByName, parts)
+            rows[name] = [(name, f"failed: {type(e).__name__}", 0, 0, None, ERROR)]
+    return df.sparkSession.createDataFrame([r for name in chosen for r in rows[name]], RESULT_SCHEMA)
 
 
 def gate(results: DataFrame) -> DataFrame:
@@ -250,10 +302,12 @@ def violations(df: DataFrame, rules: Rules, columns: Sequence[str], key: str = "
 
 
 def violation_sample(rows: DataFrame, limit: int = 10, key: str = "job_url") -> DataFrame:
-    """The first ``limit`` violations of each check, and how many more there are."""
-    by = Window.partitionBy("check")
-    return (
-        rows.withColumn("rank", F.row_number().over(by.orderBy(key, "detail")))
-        .withColumn("more", F.greatest(F.count("*").over(by) - limit, F.lit(0)))
-        .filter(F.col("rank") <= limit)
-    )
+    """The first ``limit`` violations of each check, and how many more there are.
+
+    Ranks beyond the limit go before the shuffle, and counts are combined before theirs, so no task
+    gathers all violations of a check.
+    """
+    first = F.row_number().over(Window.partitionBy("check").orderBy(key, "detail"))
+    top = rows.withColumn("rank", first).filter(F.col("rank") <= limit)
+    counts = rows.groupBy("check").agg(F.greatest(F.count("*") - limit, F.lit(0)).alias("more"))
+    return top.join(counts, "check").select(*rows.columns, "rank", "more")

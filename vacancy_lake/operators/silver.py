@@ -14,20 +14,19 @@ from ..functions.text import given, join_given, keywords_in, phrases_in
 def normalised(merged: DataFrame, country: str = "Vietnam", default_source: str = "TopCV") -> DataFrame:
     """SILVER columns and ``reject_reason`` (null for a good row) of merged postings.
 
-    One projection over the input's rows: no join, no shuffle.
+    Narrow: no join, no shuffle.
     """
     missing = [n for n in ("normalized_url", "level", "number_of_hires", "benefits", "source") if n not in merged.columns]
     df = merged.withColumns({n: F.lit(None).cast("int" if n == "number_of_hires" else "string") for n in missing})
-    df = df.withColumns(
-        {
-            "__salary": N.parse_salary(F.col("salary")),
-            "__exp": N.parse_experience(F.col("experience")),
-            "__mode": N.derive_work_mode(F.col("working_time"), F.col("description"), F.col("requirements")),
-            # Used by many branches below: columns of their own, so that each is computed once.
-            "__text": join_given(F.col("title"), F.col("description"), F.col("requirements")),
-            "__place": N.location_part(F.col("location")),
-        }
+    # What several columns below take from: put out by a generator, through which the optimizer moves
+    # no expression, so that each is computed once per row.
+    shared = F.struct(
+        N.parse_salary(F.col("salary")).alias("__salary"),
+        N.parse_experience(F.col("experience")).alias("__exp"),
+        N.derive_work_mode(F.col("working_time"), F.col("description"), F.col("requirements")).alias("__mode"),
+        join_given(F.col("title"), F.col("description"), F.col("requirements")).alias("__text"),
     )
+    df = df.select("*", F.inline(F.array(shared)))
     columns = {
         "job_id": F.col("id"),
         "source": F.coalesce("source", F.lit(default_source)),
@@ -35,7 +34,7 @@ def normalised(merged: DataFrame, country: str = "Vietnam", default_source: str
         "title": F.col("title"),
         "company": F.col("company"),
         "location_raw": F.col("location"),
-        "location_clean": N.city_of(F.col("__place")),
+        "location_clean": N.clean_location(F.col("location")),
         "salary_min": F.col("__salary.salary_min"),
         "salary_max": F.col("__salary.salary_max"),
         "currency": F.col("__salary.currency"),

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .. import schemas
 from ..operators import gold, ingest, quality, silver
 from ..sources import io
 
@@ -31,12 +32,14 @@ def run(
     lets it through or ``stop_on_error`` is false, writes Gold."""
     spark = listed.sparkSession
     merged = ingest.fill_defaults(ingest.merge_sources(listed, detail, text))
-    checked = silver.normalised(merged)
-    checked.filter(F.col("reject_reason").isNotNull()).write.mode("overwrite").parquet(f"{out}/rejects.parquet")
-    good = checked.filter(F.col("reject_reason").isNull()).drop("reject_reason")
-    if not io.write_silver(good, f"{out}/silver.parquet"):
+    # One pass: good and rejected rows go to folders of one table, and everything after reads those.
+    checked = silver.normalised(merged).withColumn("rejected", F.col("reject_reason").isNotNull())
+    checked.write.mode("overwrite").partitionBy("rejected").parquet(f"{out}/silver.parquet")
+    written = spark.read.schema(checked.schema).parquet(f"{out}/silver.parquet")
+    written.filter("rejected").drop("rejected").write.mode("overwrite").parquet(f"{out}/rejects.parquet")
+    table = written.filter("NOT rejected").select(*schemas.SILVER.names)
+    if table.isEmpty():
         raise ValueError("no good record")
-    table = io.read_silver(spark, f"{out}/silver.parquet")
     results = quality.run_stages(table, quality.stages(as_of if as_of is not None else F.current_timestamp()))
     code = quality.gate(results).first().exit_code
     if code and stop_on_error:

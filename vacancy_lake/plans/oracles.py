@@ -196,7 +196,27 @@ stacked AS (
   FROM stacked GROUP BY k
 )"""
 PAGE_KEYS = "SELECT page_id, nullif(split_part(url, '?', 1), '') AS key, url, html FROM pages"
-SPLIT = f"old AS (SELECT * FROM ({PAGE_KEYS}) WHERE page_id % 3 <> 0), new AS (SELECT * FROM ({PAGE_KEYS}) WHERE page_id % 2 = 0)"
+SPLIT = f"old AS (SELECT * FROM ({PAGE_KEYS}) WHERE page_id % 3 <> 0), new AS (SELECT * FROM ({PAGE_KEYS}) WHERE page_id % 2 = 0 OR page_id % 3 = 0)"
+#: The new side with repeats of its keys, and rows without one.
+ARRIVALS = "SELECT page_id, key FROM new UNION ALL SELECT page_id + 1000000000, CASE WHEN page_id % 5 = 0 THEN NULL WHEN page_id % 7 = 0 THEN '' ELSE key END FROM new"
+
+
+def _added(arrivals: str) -> str:
+    """Row by row as they arrive: one without a key is passed over, one whose key is there already, too."""
+    return (
+        f"WITH {SPLIT}, arriving AS ({arrivals}), added AS (SELECT page_id, key FROM (SELECT page_id, key, row_number() OVER (PARTITION BY key ORDER BY page_id) AS n "
+        "FROM arriving WHERE key IS NOT NULL AND key <> '' AND NOT EXISTS (SELECT 1 FROM old WHERE old.key = arriving.key)) WHERE n = 1)"
+    )
+
+
+def insert_only_sql(arrivals: str) -> str:
+    return _added(arrivals) + " SELECT page_id, key, 'old' AS side FROM old UNION ALL SELECT page_id, key, 'new' FROM added"
+
+
+def insert_counts_sql(arrivals: str) -> str:
+    return _added(arrivals) + " SELECT (SELECT count(*) FROM old) + (SELECT count(*) FROM added) AS total, (SELECT count(*) FROM added) AS added"
+
+
 DOC_WORDS = ["ai", "r", "license", "the", "public license", "in", "cc by", "c++"]
 TOKENS = (
     "list_transform(list_filter(regexp_extract_all(text, '[A-Za-z0-9]+(?:[-_][A-Za-z0-9]+)*'), lambda t: len(t) > 2 AND t NOT IN ("
@@ -224,6 +244,18 @@ JOB_PAGE = """concat('<html><head><title>', title, ' | 404 jobs</title><style>p{
 COLLAPSED = r"trim(regexp_replace({0}, '\s+', ' ', 'g'))"
 SQUASH = COLLAPSED.format("description")
 
+#: A label on every fourth page; else the first pair of numbers with a currency in the page's text: what
+#: the page offers, or its listing card's salary in millions.
+HTML_SALARY = postings(
+    """SELECT ord, CASE kind WHEN 0 THEN NULL WHEN 3 THEN concat(low, ' - ', high, ' triệu') WHEN 2 THEN concat('$', low, ' - ', high, ' USD') ELSE concat(low, ' - ', high, ' USD') END AS salary_text,
+    CAST(low AS DOUBLE) AS salary_min, CAST(high AS DOUBLE) AS salary_max,
+    CASE kind WHEN 0 THEN NULL WHEN 3 THEN 'VND' ELSE 'USD' END AS currency, CAST(NULL AS VARCHAR) AS unit,
+    CASE kind WHEN 0 THEN NULL WHEN 1 THEN 'html-label' ELSE 'html-pattern' END AS salary_source,
+    CASE WHEN kind > 0 THEN false END AS is_negotiable
+    FROM (SELECT ord, kind, CASE WHEN kind = 3 THEN ord % 30 + 10 WHEN kind > 0 THEN ord % 90 + 10 END AS low, CASE WHEN kind = 3 THEN ord % 30 + 25 WHEN kind > 0 THEN ord % 90 + 200 END AS high
+      FROM (SELECT ord, CASE WHEN ord % 4 = 1 THEN 1 WHEN ord % 4 = 2 THEN 2 WHEN ord % 4 = 0 AND ord % 11 = 1 THEN 3 ELSE 0 END AS kind FROM postings))"""
+)
+
 ORACLES: dict[str, str] = {
     "P1_clean_location": silver("SELECT ord, location_clean FROM parsed"),
     "P2_parse_experience": silver("SELECT ord, exp_min, exp_max FROM parsed"),
@@ -246,7 +278,7 @@ ORACLES: dict[str, str] = {
     "P17_fill_city": postings("SELECT ord, CASE WHEN ord % 3 = 0 THEN coalesce(nullif(regexp_extract(location, 'Hà Nội|Hồ Chí Minh|Đà Nẵng|Hải Phòng|Cần Thơ', 0), ''), '') ELSE location END AS city FROM postings"),
     "P18_collapse_spaces": r"SELECT doc_id, trim(regexp_replace(text, '\s+', ' ', 'g')) AS text FROM documents",
     "P19_salary_noise": postings("SELECT ord, CASE WHEN ord % 4 = 0 THEN '' ELSE salary END AS salary FROM postings"),
-    "P20_salary_with_unit": postings("SELECT ord, CASE WHEN ord % 3 = 0 THEN NULL ELSE CAST(ord % 900 + 100 AS DOUBLE) END AS salary_min, CAST(CASE WHEN ord % 3 = 1 THEN ord % 900 + 1100 ELSE ord % 900 + 100 END AS DOUBLE) AS salary_max, 'USD' AS currency, CASE WHEN ord % 2 = 0 THEN 'YEAR' ELSE 'MONTH' END AS unit FROM postings"),
+    "P20_salary_with_unit": postings("SELECT ord, CASE WHEN ord % 3 = 0 THEN NULL ELSE CAST(ord % 900 + 100 AS DOUBLE) END AS salary_min, CAST(CASE WHEN ord % 3 = 1 THEN ord % 900 + 1100 ELSE ord % 900 + 100 END AS DOUBLE) AS salary_max, 'USD' AS currency, CASE WHEN ord % 2 = 0 THEN 'YEAR' ELSE 'MONTH' END AS unit, false AS is_negotiable FROM postings"),
     "P21_salary_text_valid": postings("SELECT ord, CASE ord % 5 WHEN 0 THEN true WHEN 1 THEN false WHEN 2 THEN false WHEN 3 THEN true ELSE false END AS valid FROM postings"),
     "P22_source_job_id": "SELECT page_id, 'itviec_' || CAST(page_id AS VARCHAR) AS job_id, CASE WHEN page_id % 2 = 0 THEN url ELSE 'https://jobs.example.test/it-jobs/' || CAST(page_id AS VARCHAR) END AS job_url FROM pages",
     "P23_salary_hidden": postings("SELECT ord, CASE WHEN ord % 6 = 0 THEN true ELSE coalesce(trim(salary) = '', true) END AS hidden FROM postings"),
@@ -256,26 +288,30 @@ ORACLES: dict[str, str] = {
     "M4_id_from_url": postings("SELECT ord, CASE WHEN ord % 2 = 0 THEN id ELSE nullif(regexp_extract(url, '/(\\d+)\\.html', 1), '') END AS id FROM postings"),
     "M5_defaults": f"WITH {MERGE_CTE} SELECT normalized_url, coalesce(id, regexp_extract(normalized_url, '/(\\d+)\\.html', 1)) AS id, coalesce(title, 'Job ' || coalesce(id, regexp_extract(normalized_url, '/(\\d+)\\.html', 1))) AS title, 'TopCV' AS source FROM merged",
     "M6_keep_first": f"SELECT page_id, key FROM (SELECT *, row_number() OVER (PARTITION BY regexp_extract(key, '^[a-z]+://([^/]+)', 1) ORDER BY page_id) AS n FROM ({PAGE_KEYS}) WHERE key IS NOT NULL) WHERE n = 1",
-    "M7_insert_only": f"WITH {SPLIT} SELECT page_id, key, 'old' AS side FROM old UNION ALL SELECT page_id, key, 'new' FROM new WHERE key NOT IN (SELECT key FROM old)",
-    "M7_insert_counts": f"WITH {SPLIT} SELECT (SELECT count(*) FROM old) + (SELECT count(*) FROM new WHERE key NOT IN (SELECT key FROM old)) AS total, (SELECT count(*) FROM new WHERE key NOT IN (SELECT key FROM old)) AS added",
+    "M7_insert_only": insert_only_sql(ARRIVALS),
+    "M7_insert_counts": insert_counts_sql(ARRIVALS),
+    "M7_insert_only_all": insert_only_sql("SELECT * FROM new"),
+    "M7_insert_counts_all": insert_counts_sql("SELECT * FROM new"),
     "M8_overlay": postings("SELECT ord, CASE WHEN ord % 2 = 0 THEN NULL ELSE company END AS company, CASE WHEN ord % 3 <> 0 THEN title END AS title, CASE WHEN ord % 2 = 0 THEN deadline END AS deadline FROM postings WHERE ord % 3 <> 0 OR ord % 2 = 0"),
-    "M9_pending": f"WITH {SPLIT} SELECT page_id, key FROM old WHERE key NOT IN (SELECT key FROM new)",
-    "M10_resume": f"WITH {SPLIT} SELECT page_id, key FROM old WHERE key NOT IN (SELECT key FROM new) AND page_id % 5 = 0",
+    **{n: f"WITH {SPLIT} SELECT page_id, key FROM old WHERE NOT EXISTS (SELECT 1 FROM new WHERE new.key = old.key)" for n in ("M9_pending", "M9_pending_all")},
+    **{n: f"WITH {SPLIT} SELECT page_id, key FROM old WHERE NOT EXISTS (SELECT 1 FROM new WHERE new.key = old.key) AND key IN (SELECT key FROM ({PAGE_KEYS}) WHERE page_id % 5 = 0 AND key IS NOT NULL)" for n in ("M10_resume", "M10_resume_all")},
     "M11_repair_titles": postings("SELECT ord, title, CASE ord % 4 WHEN 0 THEN 'Tin tuyển dụng' WHEN 1 THEN company WHEN 2 THEN 'at topcv.vn' ELSE title END AS original_title FROM postings"),
     "M12_overlay_matched": silver("SELECT ord, company, salary_min, salary_max, salary_min IS NULL AND salary_max IS NULL AS salary_hidden FROM parsed WHERE ord % 3 <> 0 AND ord % 2 = 0"),
-    "M13_run_summary": silver("SELECT normalized_role, count(*) FILTER (WHERE salary_max IS NOT NULL) AS found, count(*) FILTER (WHERE ord % 2 = 0) AS added, count(*) AS total, round(count(*) FILTER (WHERE salary_max IS NOT NULL) / count(*), 6) AS found_share FROM parsed GROUP BY 1"),
+    "M13_run_summary": silver("SELECT normalized_role, count(*) FILTER (WHERE salary_max IS NOT NULL) AS found, count(*) FILTER (WHERE ord % 2 = 0) AS added, count(*) AS total, round(count(*) FILTER (WHERE salary_max IS NOT NULL) / count(*), 6) AS found_share, CASE WHEN bool_or(ord % 997 = 5) AND normalized_role LIKE 'Data%' THEN 'failed' ELSE 'success' END AS status, CASE WHEN bool_or(ord % 997 = 5) AND normalized_role LIKE 'Data%' THEN 'page not delivered' END AS error FROM parsed GROUP BY normalized_role"),
+    "M13_run_exit_code": silver("SELECT count(*) FILTER (WHERE NOT bad) AS succeeded, count(*) FILTER (WHERE bad) AS failed, CAST(max(CAST(bad AS INTEGER)) AS INTEGER) AS exit_code FROM (SELECT coalesce(bool_or(ord % 997 = 5) AND normalized_role LIKE 'Data%', false) AS bad FROM parsed GROUP BY normalized_role)"),
     "M14_keyword_titles": postings("SELECT ord, title FROM postings WHERE contains(lower(title), 'data')"),
     "M15_valid_page": "SELECT page_id, CASE WHEN page_id % 7 = 0 THEN false WHEN page_id % 5 = 0 THEN false ELSE NOT regexp_matches(lower(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1)), '403|404|not found|forbidden|access denied') END AS valid FROM pages",
     "M16_union_listings": postings("SELECT id, title, company, url, CASE WHEN ord % 2 = 0 THEN NULL ELSE 'Hybrid' END AS work_mode, CASE WHEN ord % 2 = 0 THEN location END AS location FROM postings"),
     "H1_title_heading": r"SELECT page_id, regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1) AS title, trim(regexp_replace(replace(replace(regexp_replace(regexp_extract(html, '(?is)<h1[^>]*>(.*?)</h1>', 1), '<[^>]*>', ' ', 'g'), '&lt;', '<'), '&amp;', '&'), '\s+', ' ', 'g')) AS h1 FROM pages",
-    "H2_sections": postings(f"SELECT ord, {SQUASH} || ' Join us.' AS description, 'At least ' || CAST(ord % 9 + 1 AS VARCHAR) || ' years of experience in data' AS requirements FROM postings"),
+    "H2_sections": postings(f"SELECT ord, {SQUASH} || ' Join us.' AS description, 'At least ' || CAST(ord % 9 + 1 AS VARCHAR) || ' years of experience in data' AS requirements, company || ' Cấp bậc ' || job_type AS benefits FROM postings"),
     "H3_value_by_label": postings("SELECT ord, job_type AS job_level FROM postings"),
-    "H4_listing_cards": postings(f"SELECT ord, title, company, '' AS location, {COLLAPSED.format("CASE WHEN ord % 4 = 3 THEN '' ELSE coalesce(salary, '') END")} AS salary, 'https://jobs.example.test/viec/' || id AS url, ord % 2 = 0 AS has_next FROM postings"),
-    "H5_json_ld_salary": postings("SELECT ord, CAST(ord % 50 + 10 AS VARCHAR) || ' - ' || CAST(ord % 50 + 60 AS VARCHAR) || ' USD' AS salary_text, CAST(ord % 50 + 10 AS DOUBLE) AS salary_min, CAST(ord % 50 + 60 AS DOUBLE) AS salary_max, 'USD' AS currency, 'MONTH' AS unit, 'json-ld' AS salary_source FROM postings WHERE ord % 4 = 0"),
-    "H6_html_salary": postings("SELECT ord, CAST(ord % 90 + 10 AS DOUBLE) AS salary_min, CAST(ord % 90 + 200 AS DOUBLE) AS salary_max, CASE ord % 4 WHEN 1 THEN 'html-label' ELSE 'html-pattern' END AS salary_source FROM postings WHERE ord % 4 IN (1, 2)"),
+    "H4_listing_cards": postings(f"SELECT ord, title, company, '' AS location, '' AS experience, {COLLAPSED.format("CASE WHEN ord % 4 = 3 THEN '' ELSE coalesce(salary, '') END")} AS salary, 'https://jobs.example.test/viec/' || id AS url, ord % 2 = 0 AS has_next FROM postings"),
+    "H5_json_ld_salary": postings("SELECT ord, CAST(ord % 50 + 10 AS VARCHAR) || ' - ' || CAST(ord % 50 + 60 AS VARCHAR) || ' USD' AS salary_text, CAST(ord % 50 + 10 AS DOUBLE) AS salary_min, CAST(ord % 50 + 60 AS DOUBLE) AS salary_max, 'USD' AS currency, 'MONTH' AS unit, 'json-ld' AS salary_source, false AS is_negotiable FROM postings WHERE ord % 4 = 0"),
+    **dict.fromkeys(["H6_html_salary"], HTML_SALARY),
+    "H6_html_salary_all": f"SELECT ord, salary_min, salary_max, salary_source FROM ({HTML_SALARY})",
     "H7_salary_cascade": postings("SELECT CASE ord % 4 WHEN 0 THEN 'json-ld' WHEN 1 THEN 'html-label' WHEN 2 THEN 'html-pattern' ELSE 'text-competitive' END AS salary_source, count(*) AS n FROM postings GROUP BY 1"),
     "H8_experience_snippet": postings("SELECT ord, 'At least ' || CAST(ord % 9 + 1 AS VARCHAR) || ' years of experience in data' AS snippet FROM postings"),
-    "H9_brand_description": postings(f"SELECT ord, {SQUASH} || ' Join us.' AS description FROM postings WHERE length({SQUASH} || ' Join us.') > 50"),
+    **dict.fromkeys(["H9_brand_description", "H9_brand_description_all"], postings(f"SELECT ord, CASE WHEN length({SQUASH} || ' Join us.') > 50 THEN {SQUASH} || ' Join us.' ELSE '' END AS description FROM postings")),
     "H10_visible_text": postings(f"SELECT ord, trim(regexp_replace(concat(title, ' ', CASE ord % 4 WHEN 0 THEN '' WHEN 1 THEN concat('Salary ', CAST(ord % 90 + 10 AS VARCHAR), ' - ', CAST(ord % 90 + 200 AS VARCHAR), ' USD') WHEN 2 THEN concat('We pay $', CAST(ord % 90 + 10 AS VARCHAR), ' - ', CAST(ord % 90 + 200 AS VARCHAR), ' USD a month') ELSE 'Competitive pay' END, ' Mô tả công việc ', description, ' Join us. Yêu cầu ứng viên At least ', CAST(ord % 9 + 1 AS VARCHAR), ' years of experience in data Quyền lợi ', company, ' Cấp bậc ', job_type, ' ', title, ' ', company, ' ', CASE WHEN ord % 4 = 3 THEN '' ELSE coalesce(salary, '') END, CASE WHEN ord % 2 = 0 THEN ' next' ELSE '' END), '\\s+', ' ', 'g')) AS text FROM postings"),
     "G1_metrics": silver(f"SELECT count(*) AS total_jobs, {_mean('salary_max', 'avg_salary_max')}, (SELECT normalized_role FROM silver WHERE normalized_role IS NOT NULL GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1) AS top_role, (SELECT location_clean FROM silver WHERE location_clean IS NOT NULL GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1) AS top_location FROM silver"),
     "G2_salary_by_role": silver(f"SELECT normalized_role, {_mean('salary_min', 'salary_min_mean')}, {_mean('salary_max', 'salary_max_mean')} FROM silver WHERE normalized_role IS NOT NULL GROUP BY 1 HAVING avg(salary_min) IS NOT NULL AND avg(salary_max) IS NOT NULL"),
@@ -302,7 +338,12 @@ ORACLES: dict[str, str] = {
     "U2_role_mismatch": silver(f"SELECT job_url, normalized_role, CASE WHEN normalized_role NOT IN ({', '.join(q(r) for r in V.ROLE_WORDS)}) THEN 'unknown_role' ELSE 'no_keyword_match' END AS reason FROM silver WHERE {MISMATCH}"),
     "U_uniqueness": silver(f", c AS (SELECT 'duplicate_job_url' AS \"check\", (SELECT count(*) FROM (SELECT 1 FROM silver WHERE job_url IS NOT NULL GROUP BY job_url HAVING count(*) > 1)) AS count, 2 AS lim UNION ALL SELECT 'role_title_consistency', (SELECT count(*) FROM silver WHERE {MISMATCH}), 5) SELECT 'uniqueness' AS stage, \"check\", count, (SELECT count(*) FROM silver) AS total, round(count * 100.0 / (SELECT count(*) FROM silver), 2) AS percentage, CASE WHEN count > lim THEN 'WARNING' ELSE 'OK' END AS status FROM c"),
     "T1_timeliness": "SELECT 'timeliness' AS stage, 'stale_records' AS \"check\", count(*) FILTER (WHERE ts < TIMESTAMP '2024-01-31' - INTERVAL 30 DAYS) AS count, count(*) AS total, round(count(*) FILTER (WHERE ts < TIMESTAMP '2024-01-31' - INTERVAL 30 DAYS) * 100.0 / count(*), 2) AS percentage, CASE WHEN count(*) FILTER (WHERE ts < TIMESTAMP '2024-01-31' - INTERVAL 30 DAYS) * 100.0 / count(*) > 20 THEN 'WARNING' ELSE 'OK' END AS status FROM events",
-    "R5_violation_sample": silver(f", v AS (SELECT job_url, '{{\"exp_min\":' || coalesce(CAST(exp_min AS VARCHAR), 'null') || ',\"exp_max\":' || coalesce(CAST(exp_max AS VARCHAR), 'null') || '}}' AS detail FROM silver WHERE {ACCURATE['outlier_experience']}), r AS (SELECT 'outlier_experience' AS \"check\", job_url, detail, CAST(row_number() OVER (ORDER BY job_url, detail) AS INTEGER) AS rank, greatest(count(*) OVER () - 10, 0) AS more FROM v) SELECT * FROM r WHERE rank <= 10"),
+    "R5_violation_sample": silver(
+        ", v AS ("
+        + " UNION ALL ".join(f"SELECT {q(n)} AS \"check\", job_url, exp_min, exp_max FROM silver WHERE {c}" for n, c in ACCURATE.items())
+        + "), d AS (SELECT \"check\", job_url, '{\"exp_min\":' || coalesce(CAST(exp_min AS VARCHAR), 'null') || ',\"exp_max\":' || coalesce(CAST(exp_max AS VARCHAR), 'null') || '}' AS detail FROM v),"
+        " r AS (SELECT *, CAST(row_number() OVER (PARTITION BY \"check\" ORDER BY job_url, detail) AS INTEGER) AS rank, greatest(count(*) OVER (PARTITION BY \"check\") - 10, 0) AS more FROM d) SELECT * FROM r WHERE rank <= 10"
+    ),
 }
 
 def _stage_rows() -> str:
@@ -338,4 +379,27 @@ ORACLES |= {
     "S9_dataset_status": " UNION ALL ".join(f"SELECT '{t}' AS dataset, true AS present, count(*) AS rows FROM {t}" for t in ("documents", "pages", "orders")),
     "S10_write_report": silver(" UNION ALL ".join(f"SELECT * FROM (SELECT {q(n)} AS \"check\", count(*) AS n FROM silver WHERE {c}) WHERE n > 0" for n, c in ACCURATE.items())),
     "M10_stream_ingest": "SELECT page_id, normalized_url FROM (SELECT page_id, nullif(split_part(url, '?', 1), '') AS normalized_url, row_number() OVER (PARTITION BY split_part(url, '?', 1) ORDER BY page_id) AS n FROM pages) WHERE n = 1 AND normalized_url IS NOT NULL",
+    "R2_run_time_isolation": ORACLES["V1_validity"] + " UNION ALL SELECT 'late', 'failed: ' || 'SparkRuntimeException', 0, 0, NULL, 'ERROR'",
+    "S5_gold_rows": " UNION ALL ".join(
+        f"SELECT {q(table)} AS name, count(*) AS n, round(sum(CAST({number} AS DOUBLE)), 3) AS sum FROM ({ORACLES[name]})"
+        for table, name, number in [
+            ("metrics", "G1_metrics", "total_jobs"), ("salary_by_role", "G2_salary_by_role", "salary_max_mean"),
+            ("salary_by_seniority", "G3_salary_by_seniority", "salary_max_mean"), ("heatmap_salary", "G4_heatmap_salary", "salary_max_mean"),
+            ("top_skills", "G5_top_skills", "count"), ("skills_by_role", "G6_skills_by_role", "count"),
+            ("location_distribution", "G7_location_distribution", "count"),
+            ("work_mode_distribution", "G8_work_mode_distribution", "count"), ("top_domains", "G9_top_domains", "count"),
+        ]
+    ),
 }
+
+_RESULTS = " UNION ALL ".join(f"SELECT * FROM ({ORACLES[n]})" for n in ("C1_completeness", "V1_validity", "A1_accuracy", "U_uniqueness"))
+_RESULTS += " UNION ALL " + silver(
+    "SELECT 'timeliness', 'stale_records', n, total, round(n * 100.0 / total, 2), CASE WHEN n * 100.0 / total > 20 THEN 'WARNING' ELSE 'OK' END FROM "
+    "(SELECT count(*) FILTER (WHERE CAST(crawled_at AS TIMESTAMP) < TIMESTAMP '2000-01-01' - INTERVAL 30 DAYS) AS n, count(*) AS total FROM silver)"
+).join(["SELECT * FROM (", ")"])
+ORACLES["S10_report_results"] = (
+    f"WITH results AS ({_RESULTS}) SELECT *, '2000-01-01T10:20:30' AS timestamp, 'silver' AS source, total AS total_records, "
+    "CAST((SELECT max(CASE WHEN status = 'ERROR' THEN 1 ELSE 0 END) FROM results) AS BIGINT) AS exit_code, "
+    "'completeness,validity,accuracy,uniqueness,timeliness' AS stages FROM results"
+)
+ORACLES["S10_report_markdown"] = f"SELECT stage, \"check\", count FROM ({_RESULTS})"

@@ -115,15 +115,44 @@ def dataset_status(tables: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, [status(n, df) for n, df in tables.items()])
 
 
-def write_report(results: DataFrame, violations: DataFrame, path: str, run_date: str) -> None:
-    """Results and violations of a quality run as JSON, in a folder per day."""
-    for name, df in (("results", results), ("violations", violations)):
-        df.withColumn("run_date", F.lit(run_date)).write.mode("append").partitionBy("run_date").json(f"{path}/{name}")
-
-
-def markdown_report(results: DataFrame, run_date: str) -> str:
-    """The results, a few dozen rows by construction, as a Markdown table."""
-    lines = [f"# Data quality {run_date}", "", "| stage | check | count | total | % | status |", "| --- | --- | --- | --- | --- | --- |"]
-    for r in results.collect():
+def write_report(
+    results: DataFrame,
+    violations: DataFrame,
+    path: str,
+    timestamp: str,
+    source: str = "",
+    total_records: int | None = None,
+    exit_code: int | None = None,
+    formats: tuple[str, ...] = ("md", "json"),
+) -> None:
+    """One report of a quality run, below ``path`` in a folder for the day of ``timestamp`` (ISO 8601).
+
+    ``report_<timestamp>.json`` holds a line per result with the run's metadata (timestamp, table,
+    records, stages, exit code), ``report_<timestamp>.md`` the same as Markdown,
+    ``violations_<timestamp>.json`` all violations.  A run that writes again replaces its own report.
+    """
+    spark = results.sparkSession
+    found = results.collect()  # a few dozen rows by construction
+    stages = ",".join(dict.fromkeys(r.stage for r in found))
+    metadata = {"timestamp": timestamp, "source": source, "total_records": total_records, "stages": stages, "exit_code": exit_code}
+    mark = timestamp.replace("T", "_").replace(":", "-").split(".")[0]
+    base = f"{path}/{timestamp[:10]}"
+    if "json" in formats:
+        kinds = {"total_records": "long", "exit_code": "int"}
+        more = {k: F.lit(v).cast(kinds.get(k, "string")) for k, v in metadata.items()}
+        rows = spark.createDataFrame(found, results.schema).withColumns(more).coalesce(1)
+        rows.write.mode("overwrite").option("ignoreNullFields", False).json(f"{base}/report_{mark}.json")
+    if "md" in formats:
+        text = spark.createDataFrame([(markdown_report(found, metadata),)], "value string")
+        text.write.mode("overwrite").text(f"{base}/report_{mark}.md")
+    violations.write.mode("overwrite").json(f"{base}/violations_{mark}.json")
+
+
+def markdown_report(results: list, metadata: dict) -> str:
+    """Metadata and result rows as Markdown."""
+    lines = [f"# Data quality {metadata['timestamp']}", ""]
+    lines += [f"- {k}: {v}" for k, v in metadata.items() if v not in (None, "")]
+    lines += ["", "| stage | check | count | total | % | status |", "| --- | --- | --- | --- | --- | --- |"]
+    for r in results:
         lines.append(f"| {r.stage} | {r.check} | {r['count']} | {r.total} | {r.percentage} | {r.status} |")
     return "\n".join(lines) + "\n"

@@ -80,13 +80,18 @@ def posting_columns(pick: Pick, date: str) -> list[str]:
 
 
 def postings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One posting per order that has a customer."""
+    """One posting per order that has a customer.
+
+    The narrow rows are dealt out evenly before they become wide: a small file is one split, and the
+    work on postings would be one task.
+    """
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
     customers = spark.read.parquet(f"{sf_dir}/customer.parquet")
     joined = orders.join(customers, orders.o_custkey == customers.c_custkey).selectExpr(
         "o_orderkey AS k", "o_custkey AS u", "c_name", "o_orderdate"
     )
-    return joined.selectExpr(*posting_columns(spark_pick, "date_format(o_orderdate, 'yyyy-MM-dd')"))
+    return joined.repartition(n, "k").selectExpr(*posting_columns(spark_pick, "date_format(o_orderdate, 'yyyy-MM-dd')"))
 
 
 #: The same as a DuckDB table expression named ``postings``.

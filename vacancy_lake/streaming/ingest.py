@@ -18,22 +18,26 @@ def read_stream(spark: SparkSession, path: str, schema: T.StructType, kind: str
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files).format(kind).load(path)
 
 
-def insert_new(target: str, key: str, order: list[str]) -> Callable[[DataFrame, int], None]:
+def insert_new(target: str, key: str, order: list[str], buckets: int = 64) -> Callable[[DataFrame, int], None]:
     """A batch function: the first row of each key that ``target`` does not have is appended.
 
     Batch files are named by the batch's folder, so a batch that is run again replaces its own rows.
+    Below it keys are dealt to ``buckets`` folders by hash, and a batch reads only the keys of the
+    folders that its own keys belong to.
     """
 
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        new = keep_first(batch, F.col(key), order)
+        bucket = F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+        new = keep_first(batch, F.col(key), order).withColumn("bucket", bucket)
+        own = [r.bucket for r in new.select("bucket").distinct().collect()]
         try:
-            known = spark.read.parquet(target).filter(F.col("batch") < batch_id).select(key)
+            known = spark.read.parquet(target).filter((F.col("batch") < batch_id) & F.col("bucket").isin(own)).select(key)
             new = new.join(known, key, "left_anti")
         except AnalysisException as e:
             if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
                 raise
-        new.write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
+        new.write.mode("overwrite").partitionBy("bucket").parquet(f"{target}/batch={batch_id}")
 
     return run
 
