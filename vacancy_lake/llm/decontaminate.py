@@ -5,8 +5,10 @@ for (step, word) says.  Two sequences at a small edit distance fall into step ag
 their walks agree at many steps: the edit distance has become a Hamming distance.  Sampling a few
 steps of the walk gives hash keys.  A walk is run from every place of a text where an item could
 begin; a place whose key is that of an item is a candidate, and the whole is repeated with new bits
-and samples until simulated edits of the items reach the target recall.  Candidates are verified by
-the exact edit distance between the item and the closest run of words there.
+and samples until of every single item the target share of simulated edits is found.  Items that do
+not get there (a few words repeated over and over) get exact candidates: d edits leave one of d + 1
+pieces of an item as it is, and every place that holds a piece is a candidate.  Candidates are
+verified by the exact edit distance between the item and the closest run of words there.
 
 Before the walks, places are left out where no item can be: a run of words within distance d of an
 item of n words holds n - d words of items among its n + d, and may begin with one of them.  That
@@ -29,6 +31,7 @@ from pyspark.sql import types as T
 
 from .batches import append_columns, ragged, slices, texts_of
 from .licences import WORDS
+from .store import written
 
 #: Words of items that one pass carries to the tasks: about 50 MB of index.
 BLOCK_WORDS = 400_000
@@ -36,6 +39,9 @@ BLOCK_WORDS = 400_000
 CHUNK_WORDS = 250_000
 #: Steps that a hash key samples from a walk.
 SAMPLES = 2
+#: Repetitions after which an item gets exact candidates, and simulated edits of each item.
+REPETITIONS = 64
+DRAWS = 50
 
 
 def words_of(text: bytes | None) -> list[bytes]:
@@ -83,6 +89,42 @@ class SizeClass:
     least: int  # words of items that the window must hold
     holds: np.ndarray  # by word code: a word of these items
     repetitions: list[Repetition]
+    recall: np.ndarray  # by item: simulated edits at its limit that the repetitions find
+    pieces: list[Pieces] = field(default_factory=list)
+
+
+@dataclass
+class Pieces:
+    """Runs of ``length`` words of the items with exact candidates, sorted by key."""
+
+    length: int
+    keys: np.ndarray
+    items: np.ndarray
+    offsets: np.ndarray  # where in its item each run begins
+
+
+def run_keys(codes: np.ndarray, length: int) -> np.ndarray:
+    """A key for the ``length`` words from each place; places near the end have fewer."""
+    key = np.zeros(len(codes), dtype=np.uint64)
+    for j in range(length):
+        word = np.concatenate([codes[j:], np.zeros(min(j, len(codes)), np.int64)]).astype(np.uint64)
+        key = (key ^ word) * np.uint64(0x9E3779B97F4A7C15)
+        key ^= key >> np.uint64(29)
+    return key
+
+
+def exact_pieces(rows: list[int], codes: list[np.ndarray], limits: np.ndarray) -> list[Pieces]:
+    """The limit + 1 pieces of each of the items ``rows``, by length."""
+    found: dict[int, list[tuple[int, int, int]]] = {}
+    for r in rows:
+        edges = np.linspace(0, len(codes[r]), int(limits[r]) + 2).astype(int).tolist()
+        for a, b in zip(edges, edges[1:]):
+            found.setdefault(b - a, []).append((int(run_keys(codes[r][a:b], b - a)[0]), r, a))
+    out = []
+    for length, own in sorted(found.items()):
+        keys, items, offsets = zip(*sorted(own), strict=True)
+        out.append(Pieces(length, np.array(keys, np.uint64), np.array(items), np.array(offsets)))
+    return out
 
 
 @dataclass
@@ -126,16 +168,15 @@ def build_class(rows, codes, limits, size: int, recall: float, rng: np.random.Ge
         holds[codes[r]] = True
     holds[0] = False
     shortest, window = int(lengths.min()), int((lengths + own).max())
-    made = SizeClass(np.array(rows), shortest, window, int((lengths - own).min()), holds, [])
+    made = SizeClass(np.array(rows), shortest, window, int((lengths - own).min()), holds, [], np.zeros(len(rows)))
     # Simulated edits at the limit, the hardest cases, say how many repetitions are needed.
-    draws = max(1, 400 // len(rows))
-    pairs = [(r, edited(codes[r], int(limits[r]), rng)) for r in rows for _ in range(draws)]
+    pairs = [(r, edited(codes[r], int(limits[r]), rng)) for r in rows for _ in range(DRAWS)]
     plain, begins = padded([codes[r] for r in rows], 2 * window)
     changed, starts = padded([e for _, e in pairs], 2 * window)
     place = {r: k for k, r in enumerate(rows)}
     of = np.array([place[r] for r, _ in pairs])
     found = np.zeros(len(pairs), dtype=bool)
-    while len(made.repetitions) < 2 or (found.mean() < recall and len(made.repetitions) < 64):
+    while len(made.repetitions) < 2 or (made.recall.min() < recall and len(made.repetitions) < REPETITIONS):
         reach = max(SAMPLES, shortest // 2) if len(made.repetitions) % 2 else max(SAMPLES, shortest)
         steps = sorted(rng.choice(reach, SAMPLES, replace=False).tolist()) if reach > SAMPLES else list(range(min(reach, shortest)))
         if len(made.repetitions) == len(bits):
@@ -147,6 +188,10 @@ def build_class(rows, codes, limits, size: int, recall: float, rng: np.random.Ge
         order = order[keys[order] >= 0]
         rep.keys, rep.items = keys[order], made.rows[order]
         made.repetitions.append(rep)
+        made.recall = found.reshape(len(rows), DRAWS).mean(axis=1)
+    short = np.flatnonzero(made.recall < recall)
+    made.pieces = exact_pieces([rows[k] for k in short], codes, limits)
+    made.recall[short] = 1.0
     return made
 
 
@@ -216,8 +261,6 @@ def search_words(index: ItemIndex, words: list[list[bytes]]) -> list[tuple[int,
         before = np.concatenate([[0], np.cumsum(held)])
         places = np.flatnonzero(held[: len(flat) - margin])
         places = places[before[places + c.window] - before[places] >= c.least]
-        if not len(places):
-            continue
         for rep in c.repetitions:
             keys = rep.walk(flat, places)
             low, high = np.searchsorted(rep.keys, keys, "left"), np.searchsorted(rep.keys, keys, "right")
@@ -225,6 +268,17 @@ def search_words(index: ItemIndex, words: list[list[bytes]]) -> list[tuple[int,
             if len(hit):
                 count = (high - low)[hit]
                 pairs.append((np.repeat(places[hit], count), rep.items[ragged(low[hit], count)]))
+        for pieces in c.pieces:
+            # A piece may begin before the first word of the window that holds an item.
+            around = np.flatnonzero(held)
+            keys = run_keys(flat, pieces.length)[around]
+            low, high = np.searchsorted(pieces.keys, keys, "left"), np.searchsorted(pieces.keys, keys, "right")
+            hit = np.flatnonzero(high > low)
+            if len(hit):
+                count = (high - low)[hit]
+                at, own = np.repeat(around[hit], count), ragged(low[hit], count)
+                first = begins[np.searchsorted(begins, at, side="right") - 1]
+                pairs.append((np.maximum(at - pieces.offsets[own], first), pieces.items[own]))
     if not pairs:
         return []
     place, item = (np.concatenate(x) for x in zip(*pairs, strict=True))
@@ -298,16 +352,19 @@ def find_leaks(
 
     An item is held if some run of the text's words is within an edit distance (words inserted,
     deleted or replaced) of floor(rate * item words), that is at a similarity 1 - distance / words of
-    0.8 or more by default.  ``recall``: share of simulated edits at that limit that the repetitions
-    must find; what is found is exact, and closer passages are found more surely.  ``end_word``: the
+    0.8 or more by default.  ``recall``: share of simulated edits at that limit that must be found of
+    every item; what is found is exact, and closer passages are found more surely.  ``end_word``: the
     first word after the closest passage.  Items without words, null texts and texts without words
     match nothing; repeated rows give repeated results; other columns are not read.
     """
     spark = docs.sparkSession
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    result = None
+    result, last = None, None
     for block in item_blocks(items, item_id_col, item_text_col):
-        index = spark.sparkContext.broadcast(build_index(block, rate, recall, seed))
+        if last is not None:  # one of several blocks: its matches are written and its index is let go
+            result = written(result, "matches")
+            last.destroy()
+        index = last = spark.sparkContext.broadcast(build_index(block, rate, recall, seed))
 
         def run(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
             for batch in slices(batches):
@@ -336,7 +393,10 @@ def drop_leaks(
     item_id_col: str = "item_id",
     item_text_col: str = "text",
 ) -> DataFrame:
-    """``docs`` without the rows whose text holds an item (as find_leaks says); all columns kept."""
+    """``docs`` without the rows whose text holds an item (as find_leaks says); all columns kept.
+
+    All blocks of items are tried in one pass over the documents.
+    """
     kept = docs
     for block in item_blocks(items, item_id_col, item_text_col):
         index = docs.sparkSession.sparkContext.broadcast(build_index(block, rate, recall, seed))
