@@ -28,7 +28,23 @@ PHRASES = {
     "cc by": "cc-by",
     "mit license": "mit",
 }
-#: Label and markup of each template (public licence texts and usual notices; fixed values).
+#: What stands in several templates: terms of the two BSD texts, and their disclaimer.
+BSD_TERMS = """redistribution and use in source and binary forms with or without modification are permitted
+    provided that the following conditions are met [1] redistributions of source code must retain the above
+    copyright notice this list of conditions and the following disclaimer [2] redistributions in binary form
+    must reproduce the above copyright notice this list of conditions and the following disclaimer in the
+    documentation and or other materials provided with the distribution"""
+BSD_NAMES = """[3] neither the name of {12} nor the names of its contributors may be used to endorse or promote
+    products derived from this software without specific prior written permission"""
+BSD_DISCLAIMER = """this software is provided by {12} as is and any express or implied warranties including but
+    not limited to the implied warranties of merchantability and fitness for a particular purpose are
+    disclaimed in no event shall {12} be liable for any direct indirect incidental special exemplary or
+    consequential damages including but not limited to procurement of substitute goods or services loss of
+    use data or profits or business interruption however caused and on any theory of liability whether in
+    contract strict liability or tort including negligence or otherwise arising in any way out of the use of
+    this software even if advised of the possibility of such damage"""
+#: Label and markup of each template (public licence texts, the notices that the longer licences
+#: prescribe, and usual short notices; fixed values).
 TEMPLATES: dict[str, str] = {
     "mit-text": """permission is hereby granted free of charge to any person obtaining a copy of this
         software and associated documentation files the software to deal in the software without
@@ -36,28 +52,51 @@ TEMPLATES: dict[str, str] = {
         sublicense and or sell copies of the software and to permit persons to whom the software is
         furnished to do so subject to the following conditions the above copyright notice and this
         permission notice [including the next paragraph] shall be included in all copies or substantial
-        portions of the software [the software is provided as is without warranty of any kind {90}]""",
+        portions of the software the software is provided as is without warranty of any kind express or
+        implied including but not limited to the warranties of merchantability fitness for a particular
+        purpose and noninfringement in no event shall {12} be liable for any claim damages or other
+        liability whether in an action of contract tort or otherwise arising from out of or in connection
+        with the software or the use or other dealings in the software""",
     "isc-text": """permission to use copy modify and or distribute this software for any purpose with or
         without fee is hereby granted provided that the above copyright notice and this permission notice
-        appear in all copies [the software is provided as is {80}]""",
-    "bsd-text": """redistribution and use in source and binary forms with or without modification are
-        permitted provided that the following conditions are met [1] redistributions of source code must
-        retain the above copyright notice this list of conditions and the following disclaimer [2]
-        redistributions in binary form must reproduce the above copyright notice this list of conditions
-        and the following disclaimer in the documentation and or other materials provided with the
-        distribution [[3] neither the name of {12} nor the names of its contributors may be used to endorse
-        or promote products derived from this software without specific prior written permission]""",
+        appear in all copies the software is provided as is and {12} disclaims/disclaim all warranties with
+        regard to this software including all implied warranties of merchantability and fitness in no event
+        shall {12} be liable for any special direct indirect or consequential damages or any damages
+        whatsoever resulting from loss of use data or profits whether in an action of contract negligence
+        or other tortious action arising out of or in connection with the use or performance of this
+        software""",
+    "bsd-2-text": f"{BSD_TERMS} {BSD_DISCLAIMER}",
+    "bsd-3-text": f"{BSD_TERMS} {BSD_NAMES} {BSD_DISCLAIMER}",
+    "zlib-text": """this software is provided as is without any express or implied warranty in no event will
+        {12} be held liable for any damages arising from the use of this software permission is granted to
+        anyone to use this software for any purpose including commercial applications and to alter it and
+        redistribute it freely subject to the following restrictions [1] the origin of this software must
+        not be misrepresented you must not claim that you wrote the original software if you use this
+        software in a product an acknowledgment in the product documentation would be appreciated but is
+        not required [2] altered source versions must be plainly marked as such and must not be
+        misrepresented as being the original software [3] this notice may not be removed or altered from
+        any source distribution""",
     "apache-header": """licensed under the apache license version 2 0 the license you may not use this file
-        except in compliance with the license you may obtain a copy of the license at
-        [http www apache org licenses license 2 0]""",
-    "gpl-header": """free software you can redistribute it and or modify it under the terms of the gnu [lesser/affero] general public license as published by the free
-        software foundation [either] version 2/3 [of the license] [or at your option any later version]""",
-    "apache-notice": "licensed/released/distributed under [the terms of] the apache license [version 2 0]",
-    "gpl-notice": """licensed/released/distributed under [the terms of] the gnu [lesser/affero] general
-        public license [version 2/3 [0]] [or any later version]""",
+        except in compliance with the license you may obtain a copy of the license at http/https www apache
+        org licenses license 2 0 unless required by applicable law or agreed to in writing software
+        distributed under the license is distributed on an as is basis without warranties or conditions of
+        any kind either express or implied see the license for the specific language governing permissions
+        and limitations under the license""",
+    "gpl-header": """free software you can redistribute it and or modify it under the terms of the gnu
+        [lesser/affero] general public license as published by the free software foundation either version
+        2/3 [1] of the license or at your option any later version {6} is distributed in the hope that it
+        will be useful but without any warranty without even the implied warranty of merchantability or
+        fitness for a particular purpose see the gnu [lesser/affero] general public license for more
+        details""",
+    "mpl-header": """this source code form is subject to the terms of the mozilla public license v 2 0 if a
+        copy of the mpl was not distributed with this file you can obtain one at http/https mozilla org mpl
+        2 0""",
+    "apache-notice": "licensed/released/distributed under [the terms of] the apache license",
+    "gpl-notice": "licensed/released/distributed under [the terms of] the gnu [lesser/affero] general public license",
     "mit-notice": "licensed/released/distributed under [the terms of] the mit license",
+    "mpl-notice": "licensed/released/distributed under [the terms of] the mozilla public license",
     "cc-by-notice": """licensed/released/distributed under [the terms of] [a/the] [creative commons
-        [attribution]] cc by [nc] [sa/nd] [1/2/3/4 [0/5]]""",
+        [attribution]] cc by""",
 }
 
 
@@ -107,18 +146,36 @@ class Automaton:
             states |= self.reach[low.bit_length() - 1]
         return states
 
-    def run(self, words: list[bytes], start: int) -> float:
-        """1.0 if the template matches from word ``start`` on, else the share of its mandatory words
-        that the longest run got through (a first word alone counts for nothing)."""
-        states, best = self.closed(1), 0
-        accept = 1 << self.end
-        for word in words[start:]:
-            states = self.closed((states & (self.words.get(word, 0) | self.any)) << 1)
-            if states & accept:
-                return 1.0
-            if not states:
-                break
-            best = max(best, self.done[states.bit_length() - 1])
+    def starts(self, words: list[bytes]) -> list[int]:
+        """Places of words that a match may begin with, in order."""
+        return [k for k, w in enumerate(words) if w in self.first]
+
+    def run(self, words: list[bytes], starts: list[int]) -> float:
+        """1.0 if the template matches from one of ``starts`` on, else the share of its mandatory words
+        that the longest run got through (a first word alone counts for nothing).
+
+        All runs go through the text together, as bits of one number, and a new one joins at each
+        start: every word is looked at once.
+        """
+        best, accept = 0, 1 << self.end
+        begin, fresh = self.closed(1), set(starts)
+        for start in starts:
+            states, at = 0, start
+            if start not in fresh:
+                continue  # passed by runs that began before
+            while at < len(words):
+                if at in fresh:
+                    fresh.discard(at)
+                    states |= begin
+                elif not states:
+                    break
+                word = words[at]
+                states = self.closed((states & (self.words.get(word, 0) | self.any)) << 1)
+                if states & accept:
+                    return 1.0
+                if states:
+                    best = max(best, self.done[states.bit_length() - 1])
+                at += 1
         return best / self.done[self.end] if best > 1 else 0.0
 
 
@@ -134,27 +191,20 @@ def scan(text: bytes | None) -> tuple:
     places, base = [], set()
     for phrase, label in PHRASES.items():
         needle = b" %s " % phrase.encode()
-        at = joined.find(needle)
+        at, seen, number = joined.find(needle), 0, 0
         while at >= 0:
-            places.append(joined.count(b" ", 0, at))
+            number += joined.count(b" ", seen, at)  # words between this place and the last
+            seen = at
+            places.append(number)
             base.add(label)
             at = joined.find(needle, at + 1)
     labels, score = set(base), 0.0
     for label, automaton in automata().items():
-        if score >= 1.0 and label in labels:
-            continue
-        for word in automaton.first:
-            needle = b" %s " % word
-            at = joined.find(needle)
-            while at >= 0:
-                got = automaton.run(words, joined.count(b" ", 0, at))
-                score = max(score, got)
-                if got == 1.0:
-                    labels.add(label)
-                    break
-                at = joined.find(needle, at + 1)
-            if label in labels:
-                break
+        if any(b" %s " % word in joined for word in automaton.first):
+            got = automaton.run(words, automaton.starts(words))
+            score = max(score, got)
+            if got == 1.0:
+                labels.add(label)
     return (
         len(words),
         len(places),
