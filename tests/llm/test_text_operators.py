@@ -12,7 +12,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from vacancy_lake.llm import bpe, fertility, katz, language, licences, records
-from vacancy_lake.llm.queries import vocabulary
+from vacancy_lake.llm.queries import op10_crf, vocabulary
 
 ODD = [
     "", " ", "a", "  a  b\n\n c<|endoftext|> d <|endoftext|><|endoftext|>\t\t x", "it's we'll 'tis  ½²³ ۱۲ 漢字かな 🙂🙂",
@@ -253,11 +253,25 @@ def test_language_of_held_out_and_switched_texts(spark):
     assert Counter(labels[: half - 2]).most_common(1)[0][0] == "en" and Counter(labels[half + 2 :]).most_common(1)[0][0] == "de"
     odd = language.identify(frame(spark, [None, "", "12 !", "x" * 5000]), model).collect()
     assert [(r.lang_pred, r.score) for r in odd[:3]] == [("und", 0.0)] * 3 and odd[3].lang_pred != "und"
+    numerals = ["½ ²", "①② ③", "Ⅷ Ⅳ", "1½ _ ٣"]
+    assert [r.lang_pred for r in language.identify(frame(spark, numerals), model).collect()] == ["und"] * 4
+    assert language.words_of("Ⅷ½aß²漢字٣x_y") == ["aß", "漢字", "x", "y"]
+    twice = frame(spark, [" ".join(en)] * 3).withColumn("doc_id", F.when(F.col("doc_id") > 0, F.col("doc_id")))
+    assert {r.lang_pred for r in language.identify(twice, model).collect()} == {"en"} and language.identify(twice, model).count() == 3
     nothing = language.fit(docs.filter("false"))
     assert language.identify(frame(spark, ["abc"]), nothing).first().lang_pred == "und"
     assert language.identify(docs.filter("false"), model).count() == 0
 
 
+def test_language_query_on_held_out_documents(spark):
+    sf = "/root/testdata/sf0.001"
+    lang = {r.doc_id: r.lang for r in spark.read.parquet(f"{sf}/documents.parquet").filter("length(text) > 40").collect()}
+    rows = op10_crf(spark, sf).collect()
+    held = [r for r in rows if r.held_out and lang.get(r.doc_id)]
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) for r in rows)
+    assert len(held) > 30 and sum(lang[r.doc_id] == r.lang_pred for r in held) / len(held) > 0.95
+
+
 def test_copies_do_not_crowd_out_the_sample(spark):
     few = [f"zorgu blemi {w} tarka vuno {w}esk" for w in ("aba", "obo", "ulu", "iri", "eke", "ono", "ata", "usu")]
     many = [f"the house {k} of people and their words" for k in range(300)]

@@ -34,8 +34,10 @@ WORD_LIMIT = 200_000
 #: Letters of the texts that are labelled together.
 GROUP_LETTERS = 1_000_000
 UNKNOWN = "und"
-WORD = re.compile(r"[^\W\d_]+")
-LETTER = re.compile(r"[^\W\d_]")
+#: What the pattern language counts with letters although its category is none of L: numbers that are
+#: no decimal digits, such as fractions, circled and Roman ones.
+NUMERALS = "".join(c for c in map(chr, range(0x110000)) if c.isalnum() and not c.isalpha() and not c.isdecimal())
+WORD = re.compile(rf"[^\W\d_{NUMERALS}]+")
 
 
 def words_of(text: str) -> list[str]:
