@@ -308,6 +308,12 @@ def test_forward_backward_equals_enumeration():
     assert np.allclose(got, expected) and np.allclose(pairs, both)
 
 
+@pytest.mark.parametrize("n", [[0] * 7, [0, 1, 0, 0, 0, 0, 0], [0, 5, 9, 30, 2, 0, 8], [0, 10**7, 4 * 10**6, 2 * 10**6, 10**6, 7 * 10**5, 5 * 10**5]])
+def test_discounts_are_one_estimate_for_all_sizes(n):
+    d = katz.discounts(n)
+    assert d[0] == 1 and ((d[1:] > 0) & (d[1:] < 1)).all() and (np.diff(d[1:]) > 0).all()
+
+
 def plain_katz(docs, held):
     words = {i: (t or "").encode().lower().split() + [b""] for i, t in docs.items()}
     uni, bi = Counter(), defaultdict(Counter)
@@ -360,4 +366,8 @@ def test_katz_equals_a_plain_model(spark, monkeypatch, hot):
     for k, want in plain_katz(texts, held).items():
         assert got[k][:4] == want[:4] and np.allclose(got[k][4:], want[4:])
     assert katz.katz_scores(df.filter("false"), F.col("h")).count() == 0
+    odd = df.filter("doc_id < 20").unionByName(df.filter("doc_id = 3")).withColumns({"score": F.lit("clash"), "n_known": F.lit("clash")})
+    odd = odd.withColumn("doc_id", F.when(F.col("doc_id") != 5, F.col("doc_id")))
+    rows = katz.katz_scores(odd, F.lit(False)).collect()
+    assert len(rows) == 21 and sum(r.doc_id is None for r in rows) == 1 and len({r.score for r in rows if r.doc_id == 3}) == 1
     assert katz.katz_scores(df, F.lit(True)).count() == len(texts)

@@ -17,7 +17,9 @@ corpus and are never whole in one place:
    histories is written.  When all counts of counts are known, alpha(h) follows exactly.
 
 Words stand for their 64-bit hashes.  A word with a large share of all tokens has its pairs spread
-by both words; there are few such words by construction, and their counts are sent to all tasks.
+by both words and, as a history, its unseen pairs by block; there are few such words by construction,
+and their counts are sent to all tasks.  Texts' terms are dealt by a hash of their block.  The number
+of buckets grows with the input, so that a bucket's pairs fit in one task.
 """
 
 from __future__ import annotations
@@ -41,8 +43,9 @@ from .store import written
 #: history keeps some mass for unseen words.
 K = 5
 LITTLE = 0.01
-#: Tokens of one block.
+#: Tokens of one block, and most tokens of a bucket (about; a token takes six bytes of text).
 BLOCK_TOKENS = 2_000_000
+BUCKET_TOKENS = 4_000_000
 #: A word with over 1 / (HOT * buckets) of all tokens is spread: at most HOT * buckets words are.
 HOT = 8
 
@@ -58,19 +61,18 @@ END, START = key_of(b""), key_of(b" ")
 def discounts(n: list[int]) -> np.ndarray:
     """d(0..K) from the numbers n[1..K+1] of types that were seen once, twice, ...
 
-    Katz's formula where it gives values in (0, 1); if it does not (small tables), half an
-    occurrence is taken from each count.
+    Good-Turing with smoothed numbers (Zipf's line through log n[r] over log r, as in simple
+    Good-Turing; each number gets 1 / r^2 of a type more, so that there is a line for small tables,
+    too), then Katz's formula, which leaves counts over K as they are.  With the line's slope below
+    -1 all discounts lie in (0, 1).
     """
+    r = np.arange(1, K + 2)
+    slope = np.polyfit(np.log(r), np.log(np.array(n[1 : K + 2]) + 1.0 / r**2), 1)[0]
+    power = min(slope + 1, -0.05)
+    whole = float(K + 1) ** power
     d = np.ones(K + 1)
-    half = np.array([1.0] + [(r - 0.5) / r for r in range(1, K + 1)])
-    if min(n[1 : K + 2]) <= 0:
-        return half
-    common = (K + 1) * n[K + 1] / n[1]
-    if common >= 1:
-        return half
-    for r in range(1, K + 1):
-        d[r] = ((r + 1) * n[r + 1] / (r * n[r]) - common) / (1 - common)
-    return d if ((d[1:] > 0) & (d[1:] < 1)).all() else half
+    d[1:] = ((1 + 1 / r[:K]) ** power - whole) / (1 - whole)
+    return d
 
 
 @dataclass
@@ -158,6 +160,7 @@ def word_statistics(words: DataFrame, buckets: int) -> Words:
     left = words.agg(F.sum(F.when(F.col("n") > K, F.lit(LITTLE)).otherwise(taken))).first()[0]
     least = tokens / (HOT * buckets)
     hot = {int(np.int64(r.key).astype(np.uint64)): r.n for r in words.filter(F.col("n") > least).collect()}
+    hot[START] = 0  # no token, but the history of as many as there are texts
     return Words(tokens, types, texts, d, left / tokens if tokens else 1.0, hot, buckets)
 
 
@@ -168,9 +171,8 @@ TEXTS, HISTORIES, UNSEEN, COUNTS = range(4)
 
 def bucket_of(w: np.ndarray, h: np.ndarray, words: Words) -> np.ndarray:
     """Where a pair is counted: by its second word, by both if that is hot."""
-    hot = np.fromiter(words.hot, dtype=np.uint64, count=len(words.hot))
     both = (h ^ (w >> np.uint64(17))) * np.uint64(0x9E3779B97F4A7C15)
-    spread = np.where(np.isin(w, hot), both, w)
+    spread = np.where(is_hot(w, words), both, w)
     return ((spread >> np.uint64(20)) % np.uint64(words.buckets)).astype(np.int64)
 
 
@@ -178,6 +180,16 @@ def history_bucket(h: np.ndarray, buckets: int) -> np.ndarray:
     return ((h >> np.uint64(24)) % np.uint64(buckets)).astype(np.int64)
 
 
+def block_bucket(block, buckets: int):
+    """Where the terms of a block's texts meet."""
+    mixed = np.asarray(block).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    return ((mixed >> np.uint64(33)) % np.uint64(buckets)).astype(np.int64)
+
+
+def is_hot(h: np.ndarray, words: Words) -> np.ndarray:
+    return np.isin(h, np.fromiter(words.hot, dtype=np.uint64, count=len(words.hot)))
+
+
 def block_rows(ids: list, held: np.ndarray, texts: list, block: int, words: Words) -> Iterator[tuple]:
     """Of one block: a row with its texts, and for each bucket a row with the pairs counted there.
 
@@ -185,17 +197,22 @@ def block_rows(ids: list, held: np.ndarray, texts: list, block: int, words: Word
     """
     keys, codes, counts = tokenise(texts)
     n = len(texts)
-    yield words.buckets + block % words.buckets, block, pack(ids, held, small(counts))
+    yield words.buckets + int(block_bucket(block, words.buckets)), block, pack(ids, held, small(counts))
     begins = np.cumsum(counts) - counts
     first = np.empty_like(codes)
     first[1:] = codes[:-1]
     first[begins] = 0
-    text = np.repeat(np.arange(n), counts)
     size = len(keys)
-    entries, times = np.unique((codes * size + first) * n + text, return_counts=True)
+    first += codes * size
+    first *= n
+    first += np.repeat(np.arange(n), counts)
+    del codes
+    entries, times = np.unique(first, return_counts=True)
     pair, text = np.divmod(entries, n)
-    second, first = np.divmod(pair, size)
-    bucket = bucket_of(keys[second], keys[first], words)
+    del entries
+    text, times = small(text), small(times)
+    second, first = (x.astype(np.int32) for x in np.divmod(pair, size))
+    bucket = bucket_of(keys[second], keys[first], words).astype(np.int32)
     order = np.argsort(bucket, kind="stable")
     edges = np.searchsorted(bucket[order], np.arange(words.buckets + 1))
     bits = np.packbits(held)
@@ -286,7 +303,7 @@ def count_pairs(payloads: list[tuple[int, bytes]], words: Words) -> list[tuple]:
 
         by_r = [small(total(r[each] == k).astype(np.int64)) for k in range(1, K + 1)]
         payload = pack(total(base[each]), total(term[each]), small(total(c[each] > 0).astype(np.int64)), by_r)
-        rows.append((block % words.buckets, TEXTS, block, payload))
+        rows.append((int(block_bucket(block, words.buckets)), TEXTS, block, payload))
         zero = np.flatnonzero(r[each] == 0)
         if len(zero):
             missing.append((h[each[zero]], np.full(len(zero), block), text[zero].astype(np.int64), times[zero]))
@@ -307,6 +324,8 @@ def count_pairs(payloads: list[tuple[int, bytes]], words: Words) -> list[tuple]:
     if missing:
         mh, mb, mt, mn = (np.concatenate(x) for x in zip(*missing, strict=True))
         to = history_bucket(mh, words.buckets)
+        spread = is_hot(mh, words)
+        to[spread] = block_bucket(mb[spread], words.buckets)
         for b in np.unique(to).tolist():
             m = np.flatnonzero(to == b)
             uh, place = np.unique(mh[m], return_inverse=True)
@@ -330,31 +349,47 @@ def merge_texts(rows: list[bytes], own: bytes) -> bytes:
     return pack(ids, held, counts, base, score, known, by_r)
 
 
-def merge_histories(counted: list[bytes], unseen: list[bytes]) -> tuple[list[int], bytes | None]:
-    """Numbers of pairs by r (1..K+1) in this bucket; the histories that unseen pairs need, and those."""
+#: Sums of a history: pairs by r = 1..K, pairs of more and their counts, P(w) of its seen words.
+SUMS = K + 3
+
+
+def history_sums(loaded: list, wanted: np.ndarray) -> np.ndarray:
+    """SUMS x ``wanted`` (sorted histories) from this bucket's parts."""
+    sums = np.zeros((SUMS, len(wanted)))
+    for keys, mass, by_r in loaded if len(wanted) else ():
+        place = np.searchsorted(wanted, keys)
+        place[place == len(wanted)] = 0
+        own = np.flatnonzero(wanted[place] == keys)
+        for k, values in enumerate([*by_r[:K], by_r[K + 1], by_r[K + 2], mass]):
+            np.add.at(sums[k], place[own], values[own])
+    return sums
+
+
+def merge_histories(counted: list[bytes], unseen: list[bytes], words: Words) -> tuple[bytes, bytes | None]:
+    """Of this bucket: numbers of pairs by r (1..K+1) and the sums of its hot histories; the unseen
+    pairs with the sums of their histories, hot ones (whose sums are in another bucket) apart."""
     loaded = [pickle.loads(p) for p in counted]
     totals = [int(sum(x[2][k].sum(dtype=np.int64) for x in loaded)) for k in range(K + 1)]
+    known = np.unique(np.concatenate([x[0] for x in loaded])) if loaded else np.empty(0, np.uint64)
+    hot = known[is_hot(known, words)]
+    head = pack(totals, hot, history_sums(loaded, hot))
     if not unseen:
-        return totals, None
+        return head, None
     missing = [pickle.loads(p) for p in unseen]
     needed = np.unique(np.concatenate([x[0] for x in missing]))
-    sums = np.zeros((K + 3, len(needed)))  # r = 1..K, larger ones (number, sum), P(w)
-    for keys, mass, by_r in loaded:
-        place = np.searchsorted(needed, keys)
-        place[place == len(needed)] = 0
-        own = np.flatnonzero(needed[place] == keys)
-        for k, values in enumerate([*by_r[:K], by_r[K + 1], by_r[K + 2], mass]):
-            np.add.at(sums[k], place[own], values[own])
     places = [
         (np.searchsorted(needed, x[0])[x[1]], x[2][x[3]], x[4], x[5]) for x in missing
     ]
     place, block, text, times = (np.concatenate([x[k] for x in places]) for k in range(4))
-    return totals, pack(sums, small(place), block, small(text), small(times))
+    return head, pack(needed, history_sums(loaded, needed), small(place), block, small(text), small(times))
 
 
-def backoff_terms(payload: bytes, d: np.ndarray) -> list[tuple]:
+def backoff_terms(payload: bytes, d: np.ndarray, hot: dict[int, np.ndarray], buckets: int) -> list[tuple]:
     """log10(alpha(h) c(h)) of the unseen pairs, summed over each text: rows of block and payload."""
-    sums, place, block, text, times = pickle.loads(payload)
+    histories, sums, place, block, text, times = pickle.loads(payload)
+    for k, h in enumerate(histories.tolist()):
+        if h in hot:
+            sums[:, k] = hot[h]
     r = np.arange(1, K + 1)
     c = (sums[:K] * r[:, None]).sum(axis=0) + sums[K + 1]
     kept = (sums[:K] * (r * d[1:])[:, None]).sum(axis=0) + sums[K + 1] - LITTLE * sums[K]
@@ -366,7 +401,7 @@ def backoff_terms(payload: bytes, d: np.ndarray) -> list[tuple]:
     for b in np.unique(block).tolist():
         m = block == b
         own, where = np.unique(text[m], return_inverse=True)
-        rows.append((int(b) & 0x7FFFFFFF, UNSEEN, int(b), pack(own, np.bincount(where, values[m]))))
+        rows.append((int(block_bucket(b, buckets)), UNSEEN, int(b), pack(own, np.bincount(where, values[m]))))
     return rows
 
 
@@ -396,15 +431,16 @@ def katz_scores(docs: DataFrame, held: Column, id_col: str = "doc_id", text_col:
     unseen and has probability 1 (there is nothing to tell them apart).
     """
     spark = docs.sparkSession
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), held.alias("held"))
+    size = source.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // (6 * BUCKET_TOKENS)))
     stats = word_statistics(written(count_words(source), "words"), buckets)
     words = spark.sparkContext.broadcast(stats)
 
     def count(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         rows = list(zip(table.column("block").to_pylist(), table.column("payload").to_pylist(), strict=True))
         if key[0].as_py() >= words.value.buckets:  # texts of blocks pass through
-            return sent([(b % words.value.buckets, COUNTS, b, p) for b, p in rows])
+            return sent([(int(block_bucket(b, words.value.buckets)), COUNTS, b, p) for b, p in rows])
         return sent(count_pairs(rows, words.value))
 
     def merge(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
@@ -414,9 +450,9 @@ def katz_scores(docs: DataFrame, held: Column, id_col: str = "doc_id", text_col:
         terms: dict[int, list] = {}
         for block, payload in by_kind[TEXTS]:
             terms.setdefault(block, []).append(payload)
-        out = [(block & 0x7FFFFFFF, TEXTS, block, merge_texts(terms.get(block, []), own)) for block, own in by_kind[COUNTS]]
-        totals, needed = merge_histories([p for _, p in by_kind[HISTORIES]], [p for _, p in by_kind[UNSEEN]])
-        out.append((0, COUNTS, -1, pack(totals)))
+        out = [(0, TEXTS, block, merge_texts(terms.get(block, []), own)) for block, own in by_kind[COUNTS]]
+        head, needed = merge_histories([p for _, p in by_kind[HISTORIES]], [p for _, p in by_kind[UNSEEN]], words.value)
+        out.append((0, COUNTS, -1, head))
         if needed is not None:
             out.append((0, HISTORIES, -1, needed))
         return sent(out)
@@ -424,14 +460,18 @@ def katz_scores(docs: DataFrame, held: Column, id_col: str = "doc_id", text_col:
     counted = send_pairs(source, words).groupBy("bucket").applyInArrow(count, SENT)
     tables = written(counted.groupBy("bucket").applyInArrow(merge, SENT), "histories")
     totals = np.zeros(K + 1, dtype=np.int64)
+    hot: dict[int, np.ndarray] = {}
     for row in tables.filter(F.col("kind") == COUNTS).select("payload").toLocalIterator():  # one per bucket
-        totals += np.array(pickle.loads(row.payload)[0])
+        counts, keys, sums = pickle.loads(row.payload)
+        totals += np.array(counts)
+        hot |= {h: sums[:, k] for k, h in enumerate(keys.tolist())}
     d = discounts([0, *totals.tolist()])
+    back_off = spark.sparkContext.broadcast(hot)
 
     def back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for payload in batch.column("payload").to_pylist():
-                yield from sent(backoff_terms(payload, d)).to_batches()
+                yield from sent(backoff_terms(payload, d, back_off.value, buckets)).to_batches()
 
     def finish(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         rows = list(zip(table.column("kind").to_pylist(), table.column("payload").to_pylist(), strict=True))
