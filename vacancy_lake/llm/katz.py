@@ -257,9 +257,28 @@ def grouped_sum(order: np.ndarray, edges: np.ndarray, values: np.ndarray) -> np.
     return np.add.reduceat(values[order], edges) if len(order) else values[:0]
 
 
+def history_rows(h: np.ndarray, r: np.ndarray, p: np.ndarray, buckets: int) -> list[tuple]:
+    """Of each first word: pairs by r, and the sum of P(w) over its seen second words."""
+    order = np.argsort(h, kind="stable")
+    hs, rs, ps = h[order], r[order], p[order]
+    edges = np.flatnonzero(np.concatenate([[True], hs[1:] != hs[:-1]]))
+    by_r = [small(np.add.reduceat((rs == k).astype(np.int64), edges)) for k in range(1, K + 2)]
+    by_r += [small(np.add.reduceat((rs > K).astype(np.int64), edges)), small(np.add.reduceat(rs * (rs > K), edges))]
+    mass, keys = np.add.reduceat(ps, edges), hs[edges]
+    to = history_bucket(keys, buckets)
+    rows = []
+    for b in np.unique(to).tolist():
+        m = to == b
+        rows.append((b, HISTORIES, -1, pack(keys[m], mass[m], [small(x[m]) for x in by_r])))
+    return rows
+
+
 def count_pairs(payloads: list[tuple[int, bytes]], words: Words) -> list[tuple]:
     """One bucket's pairs counted over all blocks: terms of the texts, histories, unseen pairs."""
-    loaded = [(block, pickle.loads(p)) for block, p in payloads]
+    loaded = []
+    while payloads:  # a bucket's packed pairs go as they are unpacked
+        block, packed = payloads.pop()
+        loaded.append((block, pickle.loads(packed)))
     w = np.concatenate([np.repeat(x[2], x[3]) for _, x in loaded])
     h = np.concatenate([x[4][x[5]] for _, x in loaded])
     trained = []
@@ -267,33 +286,41 @@ def count_pairs(payloads: list[tuple[int, bytes]], words: Words) -> list[tuple]:
         counts = times * ~np.unpackbits(bits, count=n).astype(bool)[text]
         starts = np.cumsum(per_pair, dtype=np.int64) - per_pair
         trained.append(np.add.reduceat(counts.astype(np.int64), starts))
-    trained = np.concatenate(trained)
+    loaded = [(block, (x[0], *x[6:])) for block, x in loaded]
     # r of each pair, c of each second word.
     order = np.lexsort((h, w))
     sw, sh = w[order], h[order]
     edges = np.flatnonzero(np.concatenate([[True], (sw[1:] != sw[:-1]) | (sh[1:] != sh[:-1])]))
-    r_once = grouped_sum(order, edges, trained)
     w_once, h_once = sw[edges], sh[edges]
+    inner = w != np.uint64(END)
+    del w, sw, sh
+    r_once = grouped_sum(order, edges, np.concatenate(trained))
+    del trained
     w_edges = np.flatnonzero(np.concatenate([[True], w_once[1:] != w_once[:-1]]))
     c_word = np.add.reduceat(r_once, w_edges)
     for k, key in enumerate(w_once[w_edges].tolist()):
         if key in words.hot:
             c_word[k] = words.hot[key]
     c_once = np.repeat(c_word, np.diff(np.append(w_edges, len(edges))))
+    seen = np.flatnonzero(r_once > 0)
+    rows = history_rows(h_once[seen], r_once[seen], words.probability(c_once[seen]), words.buckets) if len(seen) else []
+    del w_once, h_once, seen
     sizes = np.diff(np.append(edges, len(order)))
     r, c = np.empty(len(order), np.int64), np.empty(len(order), np.int64)
     r[order], c[order] = np.repeat(r_once, sizes), np.repeat(c_once, sizes)
-    rows: list[tuple] = []
+    del order, edges, sizes, r_once, c_once
     # Terms of the texts, all but d(r), which is not known yet: how many pairs have r = 1..K is sent.
-    p_word = words.probability(c)
-    seen = np.where(r > K, r - LITTLE, np.maximum(r, 1))
-    term = np.log10(np.where(r > 0, seen, p_word))
-    known = (c > 0) & (w != np.uint64(END))
-    term -= np.where(known, np.log10(np.maximum(c, 1)), 0.0)
+    term = np.where(r > K, r - LITTLE, np.maximum(r, 1))
+    new = r == 0
+    term[new] = words.probability(c[new])
+    np.log10(term, out=term)
+    known = (c > 0) & inner
+    term[known] -= np.log10(c[known])
     base = np.log10(c + 1.0)
+    r = np.minimum(r, K + 1).astype(np.int8)
     missing: list[tuple] = []
     at = 0
-    for block, (n, _, _, _, _, _, per_pair, text, times) in loaded:
+    for block, (n, per_pair, text, times) in loaded:
         own = slice(at, at + len(per_pair))
         at += len(per_pair)
         each = np.repeat(np.arange(own.start, own.stop), per_pair)
@@ -302,25 +329,12 @@ def count_pairs(payloads: list[tuple[int, bytes]], words: Words) -> list[tuple]:
             return np.bincount(text, times * values, n)
 
         by_r = [small(total(r[each] == k).astype(np.int64)) for k in range(1, K + 1)]
-        payload = pack(total(base[each]), total(term[each]), small(total(c[each] > 0).astype(np.int64)), by_r)
+        found = small(total(c[each] > 0).astype(np.int64))
+        payload = pack(total(base[each]), total(term[each]), found, by_r)
         rows.append((int(block_bucket(block, words.buckets)), TEXTS, block, payload))
         zero = np.flatnonzero(r[each] == 0)
         if len(zero):
             missing.append((h[each[zero]], np.full(len(zero), block), text[zero].astype(np.int64), times[zero]))
-    # Histories: of each first word, pairs by r and the sum of P(w).
-    order = np.flatnonzero(r_once > 0)
-    order = order[np.argsort(h_once[order], kind="stable")]
-    hs, rs, ps = h_once[order], r_once[order], words.probability(c_once[order])
-    edges = np.flatnonzero(np.concatenate([[True], hs[1:] != hs[:-1]])) if len(hs) else np.empty(0, np.int64)
-    if len(hs):
-        by_r = [np.add.reduceat((rs == k).astype(np.int64), edges) for k in range(1, K + 2)]
-        more = np.add.reduceat((rs > K).astype(np.int64), edges), np.add.reduceat(rs * (rs > K), edges)
-        mass = np.add.reduceat(ps, edges)
-        keys = hs[edges]
-        to = history_bucket(keys, words.buckets)
-        for b in np.unique(to).tolist():
-            m = to == b
-            rows.append((b, HISTORIES, -1, pack(keys[m], mass[m], [small(x[m]) for x in (*by_r, *more)])))
     if missing:
         mh, mb, mt, mn = (np.concatenate(x) for x in zip(*missing, strict=True))
         to = history_bucket(mh, words.buckets)
