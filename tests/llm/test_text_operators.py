@@ -113,21 +113,79 @@ def plain_quality(text):
     return n, sum(map(len, words)), sum(c in "#*$%&|<>" for c in text), len(lines) - len(set(lines)), len(covered), failed
 
 
+PATHS = {"piece": vocabulary("piece_bpe_32k.model"), "byte": vocabulary("byte_bpe_multi_50k.tiktoken")}
+#: The same two sentences in several scripts.
+PROSE = {
+    "latin": "All human beings are born free and equal in dignity and rights. They are endowed with reason and conscience and should act towards one another in a spirit of brotherhood.",
+    "greek": "Όλοι οι άνθρωποι γεννιούνται ελεύθεροι και ίσοι στην αξιοπρέπεια και τα δικαιώματα. Είναι προικισμένοι με λογική και συνείδηση, και οφείλουν να συμπεριφέρονται μεταξύ τους με πνεύμα αδελφοσύνης.",
+    "cyrillic": "Все люди рождаются свободными и равными в своем достоинстве и правах. Они наделены разумом и совестью и должны поступать в отношении друг друга в духе братства.",
+    "hebrew": "כל בני האדם נולדו בני חורין ושווים בערכם ובזכויותיהם. כולם חוננו בתבונה ובמצפון, לפיכך חובה עליהם לנהוג איש ברעהו ברוח של אחווה.",
+    "arabic": "يولد جميع الناس أحرارًا متساوين في الكرامة والحقوق. وقد وهبوا عقلًا وضميرًا وعليهم أن يعامل بعضهم بعضًا بروح الإخاء.",
+    "indic": "सभी मनुष्यों को गौरव और अधिकारों के मामले में जन्मजात स्वतन्त्रता और समानता प्राप्त है। उन्हें बुद्धि और अन्तरात्मा की देन प्राप्त है और परस्पर उन्हें भाईचारे के भाव से बर्ताव करना चाहिए।",
+    "thai": "มนุษย์ทั้งหลายเกิดมามีอิสระและเสมอภาคกันในเกียรติศักดิ์และสิทธิ ต่างมีเหตุผลและมโนธรรม และควรปฏิบัติต่อกันด้วยเจตนารมณ์แห่งภราดรภาพ",
+    "cjk": "すべての人間は、生まれながらにして自由であり、かつ、尊厳と権利とについて平等である。人人生而自由，在尊严和权利上一律平等。",
+    "hangul": "모든 인간은 태어날 때부터 자유로우며 그 존엄과 권리에 있어 동등하다. 인간은 천부적으로 이성과 양심을 부여받았으며 서로 형제애의 정신으로 행동하여야 한다.",
+}
+
+
+def test_every_script_has_a_band_that_prose_meets():
+    assert all(set(b) == {*fertility.SCRIPTS, "none"} for b in fertility.BANDS.values())
+    names = [f.name for f in fertility.fields(list(PATHS))]
+    rows = fertility.judge([x.encode() for x in PROSE.values()], PATHS, fertility.BANDS)
+    for script, row in zip(PROSE, rows, strict=True):
+        r = dict(zip(names, row, strict=True))
+        assert r["script"] == script and r["reason"] is None, r
+    # Letters that the vocabularies know only as bytes: a script of its own, and rare ones of known scripts.
+    for odd in ("ܫܠܡܐܫܠܡ", "ᏣᎳᎩᎦᏬᏂ", "𐎀𐎁𐎂𐎃", "𠀀𠀁𠀂𠀃", "ૐ૱૰૱"):
+        row = fertility.judge([" ".join(odd[k % len(odd) :] + odd for k in range(70)).encode()], PATHS, fertility.BANDS)[0]
+        assert dict(zip(names, row, strict=True))["reason"], odd
+
+
+def plain_measures(text):
+    """Fertility, byte share and entropy with every word given to the libraries anew."""
+    import base64
+
+    import sentencepiece
+    import tiktoken
+
+    words = [w for w in __import__("re").split(r"[\x20\x09-\x0D]+", text or "") if w]
+    sp = sentencepiece.SentencePieceProcessor(model_file=PATHS["piece"])
+    with open(PATHS["byte"], "rb") as f:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+    tt = tiktoken.Encoding("plain", pat_str=bpe.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    single = {i for t, i in ranks.items() if len(t) == 1 and t[0] > 127}
+    out = []
+    for ids, is_byte in (
+        ([i for w in words for i in sp.encode(w)], sp.is_byte),
+        ([i for w in words for i in tt.encode_ordinary(" " + w)], single.__contains__),
+    ):
+        n, counts = len(ids), Counter(ids)
+        bits = -sum(c / n * math.log2(c / n) for c in counts.values())
+        out += [n, sum(map(len, words)) / n if n else 0.0, sum(map(is_byte, ids)) / n if n else 0.0, bits]
+    return out
+
+
 def test_quality_base_and_bands(spark):
     normal = " ".join(f"word{k}" if k % 3 else "the" for k in range(90))
-    texts = ["", None, " \n", "a b c a b c a b c", normal, normal + "\n#$%|<> x\nx\nx", "ab " * 80, "漢字 " * 70, "é è x"]
-    got = {r.doc_id: r for r in fertility.quality_rules(frame(spark, texts, kept="clash"), vocabulary("piece_bpe_32k.model")).collect()}
+    texts = ["", None, " \n", "a b c a b c a b c", normal, normal + "\n#$%|<> x\nx\nx", "ab " * 80, "漢字 " * 70, "é è x", *PROSE.values()]
+    rows = fertility.quality_rules(frame(spark, texts + texts[:5], kept="clash"), PATHS).collect()
+    got = {r.doc_id: r for r in rows}
+    assert len(rows) == len(got) == len(texts) + 5
     for k, text in enumerate(texts):
         r = got[k]
         assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed) == plain_quality(text)
-        assert not (r.kept and r.base_failed)
+        want = plain_measures(text)
+        assert np.allclose(list(r)[-8:], want)
+        wrong = None if want[0] else "empty"
+        for j, name in enumerate(PATHS):
+            n, per, share, bits = want[4 * j : 4 * j + 4]
+            low, high, most, least = fertility.BANDS[name][r.script]
+            if n and not wrong:
+                kind = "fertility" if not low <= per <= high else "byte_fallback" if share > most else "entropy" if bits < min(least * math.log2(n), 4.5) else None
+                wrong = kind and f"{name}: {kind}"
+        assert r.reason == wrong and r.kept == (not r.base_failed and wrong is None)
     assert got[4].kept and not got[1].kept and got[1].reason == "empty" and got[7].script == "cjk"
-    # Bytes of no piece: a script that the vocabulary does not know.
-    odd = " ".join(["ܫܠܡܐܫܠܡ" + chr(0x710 + k % 20) for k in range(60)])
-    path = vocabulary("piece_bpe_32k.model")
-    strict = {s: (0.3, 9.0, 0.5, 0.1) for s in [*fertility.BANDS, "other"]}
-    row = fertility.judge([odd.encode()], path, strict)[0]
-    assert row[9] < 1.5 and row[10] > 0.5 and row[-1] == "byte_fallback" and not row[6]
+    assert fertility.quality_rules(frame(spark, ["x"]).filter("false"), PATHS).count() == 0
 
 
 def test_repeated_words_of_wide_codes():

@@ -29,7 +29,8 @@ def held_out(of: int) -> Column:
 
 
 def op1_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fertility.quality_rules(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
+    paths = {"piece": vocabulary("piece_bpe_32k.model"), "byte": vocabulary("byte_bpe_multi_50k.tiktoken")}
+    return fertility.quality_rules(table(spark, sf_dir, "documents"), paths)
 
 
 def op2_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
