@@ -193,6 +193,65 @@ def test_url_edges(spark):
     assert url_filter.filter_urls(df.filter("false"), url_filter.RULES).count() == 0
 
 
+def plain_verdict(url, patterns):
+    """The winning pattern, every one tried: characters are matched one by one."""
+
+    def here(p, u, k):
+        if not p:
+            return True
+        if p == "|":
+            return k == len(u)
+        if p[0] == "*":
+            return any(here(p[1:], u, j) for j in range(k, len(u) + 1))
+        if p[0] == "^":
+            if k in (0, len(u)) and here(p[1:], u, k):
+                return True
+            return k < len(u) and not ("a" <= u[k] <= "z" or "0" <= u[k] <= "9") and here(p[1:], u, k + 1)
+        return k < len(u) and u[k] == p[0] and here(p[1:], u, k + 1)
+
+    u, found = url.lower(), []
+    for p in patterns:
+        body = p.removeprefix("@@")
+        if body.startswith("||"):
+            at = u.find("://") + 3
+            host = u[at:].replace("?", "/").replace("#", "/").split("/")[0]
+            starts = [at, *[at + k + 1 for k, c in enumerate(host) if c == "."]] if at > 2 else []
+            hit = any(here(body[2:], u, k) for k in starts)
+        elif body.startswith("|"):
+            hit = here(body[1:], u, 0)
+        else:
+            hit = any(here(body, u, k) for k in range(len(u) + 1))
+        if hit:
+            found.append((p.startswith("@@"), len(p), p))
+    return max(found)[2] if found else None
+
+
+def test_url_patterns_equal_brute_force(spark, monkeypatch):
+    rng = random.Random(12)
+    odd = ["|http://a*.zip|", "||ads.*/x^", "^b^*^c^", "@@||wiki.*/casino^", "|ftp://"]
+    patterns = url_filter.PATTERNS + odd
+    bits = ["casino", "ads.", "a", "wiki.", "/", "?", "=", "&", ".zip", "x", "login", "/wiki/", "sid=", "b", "c", "-", ".", "ref=x", "page=", "Casino"]
+    urls = [rng.choice(["http://", "ftp://", "https://", ""]) + "".join(rng.choice(bits) for _ in range(rng.randint(0, 9))) for _ in range(400)]
+    df = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    rules = [url_filter.pattern_rule(p) for p in patterns]
+    want = {k: plain_verdict(u, patterns) for k, u in enumerate(urls)}
+    assert len(set(want.values())) > 8
+    for limit in (10_000, 10):  # the index broadcast, and not
+        monkeypatch.setattr(url_filter, "BROADCAST_RULES", limit)
+        rows = url_filter.filter_urls(df, rules).collect()
+        assert {r.page_id: r.pattern for r in rows} == want
+        assert all((r.verdict == "block") == bool(r.pattern and not r.pattern.startswith("@@")) for r in rows)
+
+
+def test_more_rules_than_are_broadcast(spark):
+    rules = [url_filter.pattern_rule(f"^tok{k}^") for k in range(10_050)]
+    df = spark.createDataFrame([(k, f"http://h.net/tok{k * 41}/x") for k in range(300)], "page_id long, url string")
+    got = {r.page_id: r.pattern for r in url_filter.filter_urls(df, rules).collect()}
+    assert got == {k: f"^tok{k * 41}^" if k * 41 < 10_050 else None for k in range(300)}
+    with pytest.raises(ValueError):
+        url_filter.pattern_rule("*a*")
+
+
 def plain_leaks(texts, items, rate=0.2):
     found = {}
     for d, text in texts.items():

@@ -42,14 +42,26 @@ def prefix_rule(prefix: str, verdict: str) -> Rule:
     return Rule(prefix, verdict, regex, "site", tuple(dict.fromkeys(tokens)), 1_000_000 + len(prefix))
 
 
-def pattern_rule(pattern: str, verdict: str) -> Rule:
-    """``*`` stands for anything, ``^`` for a separator or the end; the rest is literal, in lower case."""
-    parts = {"*": ".*", "^": f"(?:{SEPARATOR}|$)"}
-    regex = "(?s)" + "".join(parts.get(c, re.escape(c)) for c in pattern)
-    tokens = re.findall(r"(?<=[^a-z0-9*])[a-z0-9]+(?=[^a-z0-9*])", pattern)
+#: Rank of exceptions, above all blocking patterns and below prefix rules.
+EXCEPTION = 500_000
+
+
+def pattern_rule(pattern: str) -> Rule:
+    """``*`` stands for anything, ``^`` for a separator or the end; ``||`` in front is the start of the
+    host or of one of its labels, ``|`` in front or behind the URL's start or end; the rest is literal,
+    in lower case.  ``@@`` before all that makes it an exception: it allows, whatever blocks."""
+    body = pattern.removeprefix("@@")
+    literal = body.removeprefix("||") if body.startswith("||") else body.removeprefix("|")
+    front = r"^[a-z][a-z0-9+.\-]*://(?:[^/?#]*\.)?" if body.startswith("||") else "^" if body.startswith("|") else ""
+    ends = literal.endswith("|")
+    parts = {"*": ".*", "^": f"(?:^|{SEPARATOR}|$)"}
+    regex = "(?s)" + front + "".join(parts.get(c, re.escape(c)) for c in literal.removesuffix("|")) + ("$" if ends else "")
+    tokens = re.findall(r"(?<=[^a-z0-9*])[a-z0-9]+(?=[^a-z0-9*])", body)
     if not tokens:
         raise ValueError(f"no literal token between separators in {pattern!r}")
-    return Rule(pattern, verdict, regex, "url", tuple(dict.fromkeys(tokens)), len(pattern))
+    exception = pattern.startswith("@@")
+    rank = len(pattern) + (EXCEPTION if exception else 0)
+    return Rule(pattern, "allow" if exception else "block", regex, "url", tuple(dict.fromkeys(tokens)), rank)
 
 
 def site_parts(url: Column) -> tuple[Column, Column]:
@@ -102,7 +114,8 @@ def filter_urls(
     """Per row of ``pages``: id, host, path, rule (of the winning prefix rule), verdict, pattern.
 
     Null, empty or malformed URLs have an empty host and path, no rule and the default verdict.
-    Of several rules the highest rank wins, then the first name.  Rows repeat as in ``pages``;
+    Of several rules the highest rank wins (prefix rules by length, then exceptions, then blocking
+    patterns, by length), then the last name.  Rows repeat as in ``pages``;
     each distinct URL is judged once.  Other columns are not read.
     """
     rows = pages.select(F.col(id_col).alias("__id"), F.col(url_col).alias("__url"))
@@ -132,27 +145,76 @@ def filter_urls(
     )
 
 
-#: The contract's rules, then patterns of our own: copies under tracking names, and kinds of sites.
+#: Our own patterns, by kind (words of public block lists' categories): what no page of prose has in its URL
+#: as a word, kinds of files, pages that hold no text of their own, parameters that name a visit,
+#: hosts that serve no pages, and exceptions.
+WORDS = (
+    "casino casinos poker slots roulette betting bookmaker jackpot lottery porn porno xxx sex sexy nude nudes "
+    "escort escorts camgirl hentai milf viagra cialis levitra payday warez keygen torrent torrents crack"
+).split()
+ENDINGS = (
+    "zip rar gz tgz bz2 7z exe msi dmg iso apk jar deb rpm bin jpg jpeg png gif webp svg ico bmp tif mp3 mp4 avi mkv mov wav "
+    "flac ogg webm css js json xml rss atom woff woff2 ttf pdf doc docx xls xlsx ppt pptx"
+).split()
+PATHS = (
+    "wp-login wp-admin wp-json login logout signin signup register cart checkout basket wishlist account password captcha "
+    "unsubscribe subscribe search tag tags feed print share compare calendar cgi-bin xmlrpc trackback sitemap"
+).split()
+PARAMS = (
+    "sessionid phpsessid jsessionid sid gclid fbclid msclkid dclid yclid mc_eid mc_cid igshid ref_src replytocom share "
+    "action add-to-cart print output"
+).split()
+HOSTS = "ads ad adserver banner banners track tracker tracking click clicks pixel stats metrics analytics cdn static img images mail ftp".split()
+EXCEPTIONS = "@@||wiki. @@||docs. @@||archive. @@/wiki/ @@/docs/ @@/article/ @@/articles/ @@/blog/".split()
+PATTERNS = [
+    "^utm_source=feed^",
+    "^page=*&ref=x^",
+    *[f"^{x}^" for x in WORDS],
+    *[f".{x}|" for x in ENDINGS],
+    *[f"/{x}^" for x in PATHS],
+    *[f"^{x}=" for x in PARAMS],
+    *[f"||{x}." for x in HOSTS],
+    *EXCEPTIONS,
+]
+#: The contract's rules, then the patterns.
 RULES = [
     prefix_rule("org/", "allow"),
     prefix_rule("example.org/es/", "block"),
     prefix_rule("example.org/en/1", "block"),
     prefix_rule("com/fr/", "allow"),
     prefix_rule("com/de/", "block"),
-    pattern_rule("^utm_source=feed^", "block"),
-    pattern_rule("^page=*&ref=x^", "block"),
-    pattern_rule("^casino^", "block"),
-    pattern_rule("^porn^", "block"),
-    pattern_rule("^xxx^", "block"),
-    pattern_rule("/wp-login^", "block"),
+    *map(pattern_rule, PATTERNS),
 ]
 
+
+def _sql_test(pattern: str) -> str:
+    """A pattern as SQL over u (the URL in lower case), its words, and its host."""
+    body = pattern.removeprefix("@@")
+    if body.startswith("||"):
+        return f"(starts_with(h, '{body[2:]}') OR contains(h, '.{body[2:]}'))"
+    if body.endswith("|"):
+        return f"ends_with(u, '{body[:-1]}')"
+    if body == "^page=*&ref=x^":
+        return "regexp_matches(u, '(^|[^a-z0-9])page=.*&ref=x([^a-z0-9]|$)')"
+    if body[0] == "^" and body[-1] == "^" and body[1:-1].isalnum():
+        return f"list_contains(words, '{body[1:-1]}')"
+    if body[0] == "^":
+        return f"regexp_matches(u, '(^|[^a-z0-9]){body[1:].replace('^', '([^a-z0-9]|$)')}')"
+    if body[-1] == "^":
+        return f"regexp_matches(u, '{body[:-1]}([^a-z0-9]|$)')"
+    return f"contains(u, '{body}')"
+
+
+_BEST_FIRST = sorted(PATTERNS, key=lambda p: (p.startswith("@@"), len(p), p), reverse=True)
+_FIT = "\n".join(f"      WHEN {_sql_test(p)} THEN '{p}'" for p in _BEST_FIRST)
+
 ORACLE = r"""
 WITH parts AS (
   SELECT page_id, url, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest
   FROM pages
 ), split AS (
-  SELECT page_id, lower(url) AS u,
+  SELECT page_id, lower(url) AS u, regexp_split_to_array(lower(url), '[^a-z0-9]+') AS words,
+         lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1)) AS h,
          translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
          regexp_extract(rest, '^[^/?#]*(/[^?#]*)', 1) AS path
   FROM parts
@@ -164,18 +226,13 @@ WITH parts AS (
       WHEN (host = 'com' OR host LIKE '%.com') AND starts_with(path, '/de/') THEN 'com/de/'
       WHEN (host = 'org' OR host LIKE '%.org') AND starts_with(path, '/') THEN 'org/' END AS rule,
     CASE
-      WHEN regexp_matches(u, '(^|[^a-z0-9])utm_source=feed([^a-z0-9]|$)') THEN '^utm_source=feed^'
-      WHEN regexp_matches(u, '(^|[^a-z0-9])page=.*&ref=x([^a-z0-9]|$)') THEN '^page=*&ref=x^'
-      WHEN regexp_matches(u, '/wp-login([^a-z0-9]|$)') THEN '/wp-login^'
-      WHEN regexp_matches(u, '(^|[^a-z0-9])casino([^a-z0-9]|$)') THEN '^casino^'
-      WHEN regexp_matches(u, '(^|[^a-z0-9])porn([^a-z0-9]|$)') THEN '^porn^'
-      WHEN regexp_matches(u, '(^|[^a-z0-9])xxx([^a-z0-9]|$)') THEN '^xxx^' END AS fit
+@FIT@ END AS fit
   FROM split
 )
 SELECT page_id, host, path, rule,
        CASE rule WHEN 'org/' THEN 'allow' WHEN 'com/fr/' THEN 'allow'
                  WHEN 'example.org/es/' THEN 'block' WHEN 'example.org/en/1' THEN 'block' WHEN 'com/de/' THEN 'block'
-                 ELSE CASE WHEN fit IS NULL THEN 'allow' ELSE 'block' END END AS verdict,
+                 ELSE CASE WHEN fit IS NULL OR starts_with(fit, '@@') THEN 'allow' ELSE 'block' END END AS verdict,
        CASE WHEN rule IS NULL THEN fit END AS pattern
 FROM ruled
-"""
+""".replace("@FIT@", _FIT)
