@@ -383,6 +383,7 @@ def test_pipeline(spark, tmp_path):
         if name == "decontamination":
             leaks = plain_leaks({r.doc_id: r.text for r in now.limit(30).collect()}, {item.item_id: item.text})
             assert 9003 not in after and not leaks
-    assert now.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] and now.count() > 100
+    assert now.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "ids"] and now.count() > 100
+    assert now.filter("n_tokens <> size(ids)").count() == 0
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs.filter("false"), str(tmp_path)).count() == 0

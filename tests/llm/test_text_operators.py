@@ -85,6 +85,14 @@ def test_records_hold_all_ids_in_order(spark, library):
     mixed = records.read_shuffled(manifest, 1).sort("place").collect()
     assert {r.doc_id: list(r.ids) for r in mixed} == {i: [*ids_of(library, t), 2] for i, t in byid.items()}
     assert [r.doc_id for r in mixed] != order
+    again = frame(spark, ["a b", None, "a b", "c"], file="clash", n_ids="clash", part="clash").withColumn("doc_id", F.lit(7).cast("long"))
+    twice = records.read_records(records.write_records(again, vocabulary("byte_bpe_50k.json"), 2, parts=2)).sort("start").collect()
+    sizes = sorted(len(ids_of(library, t)) + 1 for t in ("a b", None, "a b", "c"))
+    assert sorted(r.n_tokens for r in twice) == sizes and twice[-1].start + twice[-1].n_tokens == sum(sizes)
+    wide = records.write_records(again, vocabulary("byte_bpe_50k.json"), 2, parts=2, wide=True)
+    assert sorted(r.ids_crc32 for r in records.read_records(wide, wide=True).collect()) == sorted(r.ids_crc32 for r in twice)
+    index = records.read_index(wide).collect()
+    assert len(index) == 4 and {r.doc_id for r in index} == {7}
     empty = records.write_records(df.filter("false"), vocabulary("byte_bpe_50k.json"), 2)
     assert records.read_records(empty).count() == 0
 

@@ -255,16 +255,17 @@ def texts_ids(texts: Sequence[bytes | None], path: str) -> Iterator[np.ndarray]:
             yield np.frombuffer(b"".join(pieces), dtype=np.int32)
 
 
-def encode_decode(texts: list[bytes | None], path: str) -> tuple[list, list, list]:
-    """Number of ids, SHA-256 of the decimal ids, SHA-256 of the text decoded from the ids."""
+def encode_decode(texts: list[bytes | None], path: str) -> tuple[list, list, list, list]:
+    """Number of ids, SHA-256 of the decimal ids, SHA-256 of the text decoded from the ids, the ids."""
     t = table(path)
-    n, of_ids, of_text = [], [], []
+    n, of_ids, of_text, all_ids = [], [], [], []
     for ids in texts_ids(texts, path):
         n.append(len(ids))
+        all_ids.append(ids)
         digits = b",".join(map(t.decimal.__getitem__, ids.tolist()))
         of_ids.append(hashlib.sha256(digits).hexdigest())
         of_text.append(hashlib.sha256(t.decode(ids).decode("utf-8", errors="replace").encode("utf-8")).hexdigest())
-    return n, of_ids, of_text
+    return n, of_ids, of_text, all_ids
 
 
 def encode_ids(docs: DataFrame, path: str, text_col: str = "text", keep: Sequence[str] | None = None) -> DataFrame:
@@ -277,9 +278,9 @@ def encode_ids(docs: DataFrame, path: str, text_col: str = "text", keep: Sequenc
 
 
 def encode_digests(
-    docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False
 ) -> DataFrame:
-    """Per row of ``docs``: id, ``n_tokens``, ``ids_sha256``, ``decoded_sha256``.
+    """Per row of ``docs``: id, ``n_tokens``, ``ids_sha256``, ``decoded_sha256`` and, if wanted, ``ids``.
 
     A null or empty text has no ids; both digests are then those of no bytes.  Repeated rows give
     repeated results, other columns are not read, an empty table gives an empty result.
@@ -290,4 +291,6 @@ def encode_digests(
         T.StructField("ids_sha256", T.StringType()),
         T.StructField("decoded_sha256", T.StringType()),
     ]
-    return append_columns(docs, text_col, lambda texts: encode_decode(texts, path), fields, [id_col])
+    if with_ids:
+        fields.append(T.StructField("ids", T.ArrayType(T.IntegerType())))
+    return append_columns(docs, text_col, lambda texts: encode_decode(texts, path)[: len(fields)], fields, [id_col])

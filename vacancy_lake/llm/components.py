@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from .store import written
 
 
+LINKS_PER_TASK = 100_000
+
+
 def _smallest(pairs: DataFrame) -> DataFrame:
     """u, v, m: m is the smallest of u and all of u's neighbours."""
     least = pairs.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
@@ -38,9 +41,10 @@ def components(links: DataFrame) -> DataFrame:
     and the number of rounds grows with the logarithm of the longest chain.  Without links the
     result is empty.
     """
-    # Links are short rows: an eighth of the usual partitions holds them, in fewer tasks and files.
-    parts = max(1, int(links.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 8)
-    now = written(links.filter("a <> b").select("a", "b").distinct().coalesce(parts), "links")
+    now = written(links.filter("a <> b").select("a", "b").distinct(), "links")
+    # Links are short rows: few of them need few tasks and files, many get as many as any shuffle.
+    most = int(links.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = min(most, 1 + now.count() // LINKS_PER_TASK)
     mark = None
     while True:
         now = written(_small_star(_large_star(now)).coalesce(parts), "links")
