@@ -34,15 +34,16 @@ WORD_LIMIT = 200_000
 #: Letters of the texts that are labelled together.
 GROUP_LETTERS = 1_000_000
 UNKNOWN = "und"
-#: What the pattern language counts with letters although its category is none of L: numbers that are
-#: no decimal digits, such as fractions, circled and Roman ones.
-NUMERALS = "".join(c for c in map(chr, range(0x110000)) if c.isalnum() and not c.isalpha() and not c.isdecimal())
-WORD = re.compile(rf"[^\W\d_{NUMERALS}]+")
+WORD = re.compile(r"[^\W\d_]+")
 
 
 def words_of(text: str) -> list[str]:
-    """Runs of letters, in lower case."""
-    return WORD.findall(text.lower())
+    """Runs of letters (Unicode category L), in lower case."""
+    words = WORD.findall(text.lower())
+    if all(map(str.isalpha, words)):
+        return words
+    # The pattern counts numbers that are no decimal digits (fractions, Roman ones) with letters.
+    return "".join(c if c.isalpha() else " " for w in words for c in (*w, " ")).split()
 
 
 def feature_hashes(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
