@@ -374,6 +374,17 @@ def test_forward_backward_equals_enumeration():
     assert np.allclose(got, expected) and np.allclose(pairs, both)
 
 
+@pytest.mark.parametrize("most", [1, 2, 7, 64])
+def test_pieces_change_nothing(monkeypatch, most):
+    rng = np.random.default_rng(2)
+    lengths = np.array([0, 300, 1, 0, 7, 8, 64, 65, 2, 1000])
+    scores, start, moves = 8 * rng.normal(size=(lengths.sum(), 4)), rng.normal(size=4), 3 * rng.normal(size=(4, 4))
+    whole, _ = language.forward_backward(scores, lengths, start, moves, learn=True)
+    monkeypatch.setattr(language, "PIECE_WORDS", most)
+    got, _ = language.forward_backward(scores, lengths, start, moves)
+    assert np.allclose(got, whole, rtol=1e-9, atol=1e-12)
+
+
 @pytest.mark.parametrize("n", [[0] * 7, [0, 1, 0, 0, 0, 0, 0], [0, 5, 9, 30, 2, 0, 8], [0, 10**7, 4 * 10**6, 2 * 10**6, 10**6, 7 * 10**5, 5 * 10**5]])
 def test_discounts_are_one_estimate_for_all_sizes(n):
     d = katz.discounts(n)

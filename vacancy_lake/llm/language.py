@@ -33,6 +33,8 @@ LEXICON_MIN = 2
 WORD_LIMIT = 200_000
 #: Letters of the texts that are labelled together.
 GROUP_LETTERS = 1_000_000
+#: Longer texts are cut into pieces of this many words, which advance together.
+PIECE_WORDS = 512
 UNKNOWN = "und"
 WORD = re.compile(r"[^\W\d_]+")
 
@@ -95,20 +97,61 @@ class Model:
         return total / np.sqrt(counts)[:, None] + self.trust * entries
 
 
+def cut(lengths: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Pieces of at most ``most`` words of sequences laid end to end: first word, size, rank in the
+    sequence, and whether it is the sequence's last."""
+    counts = -(-lengths // most)
+    rank = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+    begins = np.repeat(np.cumsum(lengths) - lengths, counts) + rank * most
+    sizes = np.minimum(most, np.repeat(lengths, counts) - rank * most)
+    return begins, sizes, rank, rank == np.repeat(counts, counts) - 1
+
+
+def borders(e: np.ndarray, a: np.ndarray, start: np.ndarray, pieces: tuple) -> tuple[np.ndarray, np.ndarray]:
+    """Forward values that enter each piece and backward values at its last word, both scaled.
+
+    What a piece does to any vector is one label x label matrix.  The matrices of all pieces are
+    multiplied out together, then the vectors go from piece to piece, so the result is exact.
+    """
+    begins, sizes, rank, last = pieces
+    k = e.shape[1]
+    enter, leave = np.tile(np.exp(start), (len(begins), 1)), np.ones((len(begins), k))
+    own = np.flatnonzero((rank > 0) | ~last)
+    if not len(own):
+        return enter, leave
+    own = own[np.argsort(-sizes[own], kind="stable")]
+    through = np.zeros((len(begins), k, k))
+    product = e[begins[own]][:, :, None] * np.eye(k)
+    steps = int(sizes[own[0]])
+    for t, n in zip(range(1, steps), np.searchsorted(-sizes[own], -np.arange(1, steps), side="left"), strict=True):
+        now = (product[:n].reshape(-1, k) @ a).reshape(-1, k, k) * e[begins[own[:n]] + t][:, None, :]
+        product[:n] = now / now.sum(axis=(1, 2), keepdims=True)
+    through[own] = product
+    for r in range(1, int(rank.max()) + 1):
+        at = np.flatnonzero(rank == r)
+        now = np.einsum("ni,nij->nj", enter[at - 1], through[at - 1]) @ a
+        enter[at] = now / now.sum(axis=1, keepdims=True)
+    for r in range(int(rank.max()) - 1, -1, -1):
+        at = np.flatnonzero((rank == r) & ~last)
+        now = np.einsum("nij,nj->ni", through[at + 1], leave[at + 1]) @ a.T
+        leave[at] = now / now.sum(axis=1, keepdims=True)
+    return enter, leave
+
+
 def forward_backward(scores: np.ndarray, lengths: np.ndarray, start: np.ndarray, moves: np.ndarray, learn: bool = False):
     """Label probabilities of every word of sequences laid end to end and, to ``learn``, those of pairs
     of neighbours, summed.  All sequences advance together, longest first, so a step is one
-    matrix product; probabilities are scaled at each step."""
-    order = np.argsort(-lengths, kind="stable")
-    sizes = lengths[order]
-    begins = (np.cumsum(lengths) - lengths)[order]
+    matrix product; probabilities are scaled at each step.  To ``learn`` sequences are not cut."""
     k = scores.shape[1]
     e = np.exp(scores - scores.max(axis=1, keepdims=True))
     a = np.exp(moves)
+    pieces = cut(lengths, max(1, int(lengths.max(initial=0))) if learn else PIECE_WORDS)
+    now, leave = borders(e, a, start, pieces)
+    order = np.argsort(-pieces[1], kind="stable")
+    begins, sizes, now, leave = pieces[0][order], pieces[1][order], now[order], leave[order]
     alpha, beta = np.empty_like(e), np.empty_like(e)
     steps = int(sizes[0]) if len(sizes) else 0
     alive = np.searchsorted(-sizes, -np.arange(steps), side="left") if steps else []
-    now = np.exp(start)[None, :] * np.ones((len(sizes), 1))
     for t in range(steps):
         n = int(alive[t])
         at = begins[:n] + t
@@ -120,7 +163,7 @@ def forward_backward(scores: np.ndarray, lengths: np.ndarray, start: np.ndarray,
     for t in range(steps - 1, -1, -1):
         n = int(alive[t])
         at = begins[:n] + t
-        own = np.ones((n, k))
+        own = leave[:n].copy()
         m = len(nxt)
         if m:
             ahead = e[at[:m] + 1] * nxt
