@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, fertility, katz, language, licences, line_dedup, records, simhash, url_filter
+from . import bpe, decontaminate, fertility, imatch, katz, language, licences, line_dedup, merkle, prefix_trie, records, simhash, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -74,6 +74,18 @@ def op10_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out(4).alias("held_out"), "lang_pred", "score")
 
 
+def op11_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return imatch.neighbour_likeness(table(spark, sf_dir, "documents"))
+
+
+def op12_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.conversation_trie(table(spark, sf_dir, "conversations"))
+
+
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.dataset_manifest(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_fertility": op1_fertility,
     "op2_licences": op2_licences,
@@ -85,10 +97,15 @@ QUERIES: dict[str, Query] = {
     "op8_records": op8_records,
     "op9_cgk_leaks": op9_cgk_leaks,
     "op10_crf": op10_crf,
+    "op11_imatch": op11_imatch,
+    "op12_trie": op12_trie,
+    "op13_merkle": op13_merkle,
 }
 
 #: DuckDB SQL for the queries that SQL can express.
 ORACLES: dict[str, str] = {
     "op6_url_rules": url_filter.ORACLE,
     "op7_line_spread": line_dedup.ORACLE,
+    "op12_trie": prefix_trie.ORACLE,
+    "op13_merkle": merkle.ORACLE,
 }

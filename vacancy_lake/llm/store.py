@@ -30,10 +30,10 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
     """``df`` as a Parquet table in the shared folder: lineage ends here, and a lost executor costs
-    nothing that was computed before."""
+    nothing that was computed before.  ``by``: a column with a folder for each value."""
     spark = df.sparkSession
     path = new_path(spark, name)
-    df.write.parquet(path)
+    (df.write.partitionBy(by) if by else df.write).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
