@@ -3,8 +3,8 @@
 Terms of a chosen band of inverse document frequency are the lexicon.  Of each text the distinct lexicon
 terms are sorted and hashed: once over the whole lexicon, and once over each of several random subsets of
 it.  A changed word changes only the hashes of the subsets that hold it, so the share of equal hashes tells
-how like two texts are.  Subsets are drawn at several rates, dense ones for short texts and sparse ones for
-long texts, which otherwise would lose all their hashes by a few changes.
+how like two texts are.  Subsets are drawn at several rates: sparse ones, which hold a word or two of a long text
+and so measure its likeness best, and denser ones for short texts, of which sparse ones hold nothing.
 """
 
 from __future__ import annotations
@@ -27,11 +27,13 @@ from .store import written
 #: Lexicon terms have log10(documents / documents with the term) in this band, and occur in MIN_DOCS at least.
 IDF_BAND = (1.0, 4.0)
 MIN_DOCS = 2
-#: Rates at which subsets keep a term (one in ...), and subsets of each rate.  Rates are powers of two.
-RATES, PER_RATE = (4, 16, 64, 256), 6
+#: Rates at which subsets keep a term (one in ..., powers of two), the sparsest first, and subsets of each rate.
+RATES, PER_RATE = (512, 128, 32, 8), 8
 SUBSETS = len(RATES) * PER_RATE
 WHOLE, PART = 16, 8  # hex digits of the hash over the whole lexicon, and of one subset's
 EMPTY = "-" * PART
+#: Two texts are compared by the sparsest rates at which so many subsets hold a term of either.
+LEAST_FILLED = 6
 #: A lexicon of so many terms goes to every worker.  A term has at least 1 of 10**IDF_BAND[1] documents, so there are
 #: at most 10**IDF_BAND[1] times as many terms as a document has distinct words on average, however many documents
 #: there are; a larger lexicon is joined.
@@ -49,7 +51,7 @@ def terms_of(text: bytes) -> set[bytes]:
 
 def subsets_of(term: bytes) -> tuple[int, ...]:
     """Numbers of the subsets that hold a term: those whose own bits of its hash are all zero."""
-    bits, found, k = xxhash.xxh128_intdigest(term, 11), [], 0
+    bits, found, k = xxhash.xxh128_intdigest(term, 11) | xxhash.xxh128_intdigest(term, 12) << 128, [], 0
     for rate in RATES:
         for _ in range(PER_RATE):
             if not bits & (rate - 1):
@@ -73,13 +75,23 @@ def fingerprint(kept: Iterable[bytes], text: bytes, subsets=subsets_of) -> str:
 
 
 def likeness(a: str, b: str) -> float:
-    """Equal hashes among those that at least one of the two fingerprints has; 1 for equal fingerprints."""
+    """Share of equal hashes among the subsets that hold a term of either text, from the sparsest rate on, as many
+    rates as are needed; where all rates together hold too few, the whole lexicon's hash counts, too.  1 for equal
+    fingerprints."""
     if a == b:
         return 1.0
-    cuts = [(0, WHOLE), *((WHOLE + PART * k, WHOLE + PART * (k + 1)) for k in range(SUBSETS))]
-    pairs = [(a[i:j], b[i:j]) for i, j in cuts]
-    filled = [x == y for x, y in pairs if x != EMPTY or y != EMPTY]
-    return sum(filled) / len(filled)
+    filled = equal = 0
+    for k in range(SUBSETS):
+        x, y = a[WHOLE + PART * k : WHOLE + PART * (k + 1)], b[WHOLE + PART * k : WHOLE + PART * (k + 1)]
+        if k % PER_RATE == 0 and filled >= LEAST_FILLED:
+            break
+        if x != EMPTY or y != EMPTY:
+            filled += 1
+            equal += x == y
+    if filled < LEAST_FILLED:
+        filled += 1
+        equal += a[:WHOLE] == b[:WHOLE]
+    return equal / filled
 
 
 class Terms(dict):
