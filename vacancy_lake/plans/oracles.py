@@ -295,6 +295,7 @@ ORACLES: dict[str, str] = {
     "M8_overlay": postings("SELECT ord, CASE WHEN ord % 2 = 0 THEN NULL ELSE company END AS company, CASE WHEN ord % 3 <> 0 THEN title END AS title, CASE WHEN ord % 2 = 0 THEN deadline END AS deadline FROM postings WHERE ord % 3 <> 0 OR ord % 2 = 0"),
     **{n: f"WITH {SPLIT} SELECT page_id, key FROM old WHERE NOT EXISTS (SELECT 1 FROM new WHERE new.key = old.key)" for n in ("M9_pending", "M9_pending_all")},
     **{n: f"WITH {SPLIT} SELECT page_id, key FROM old WHERE NOT EXISTS (SELECT 1 FROM new WHERE new.key = old.key) AND key IN (SELECT key FROM ({PAGE_KEYS}) WHERE page_id % 5 = 0 AND key IS NOT NULL)" for n in ("M10_resume", "M10_resume_all")},
+    "M10_lost_checkpoint": f"WITH {SPLIT}, first AS (SELECT min(page_id) AS page_id, key FROM old WHERE key IS NOT NULL GROUP BY key) SELECT page_id, key AS normalized_url FROM first UNION ALL SELECT min(page_id), key FROM new WHERE key IS NOT NULL AND NOT EXISTS (SELECT 1 FROM old WHERE old.key = new.key) GROUP BY key",
     "M11_repair_titles": postings("SELECT ord, title, CASE ord % 4 WHEN 0 THEN 'Tin tuyển dụng' WHEN 1 THEN company WHEN 2 THEN 'at topcv.vn' ELSE title END AS original_title FROM postings"),
     "M12_overlay_matched": silver("SELECT ord, company, salary_min, salary_max, salary_min IS NULL AND salary_max IS NULL AS salary_hidden FROM parsed WHERE ord % 3 <> 0 AND ord % 2 = 0"),
     "M13_run_summary": silver("SELECT normalized_role, count(*) FILTER (WHERE salary_max IS NOT NULL) AS found, count(*) FILTER (WHERE ord % 2 = 0) AS added, count(*) AS total, round(count(*) FILTER (WHERE salary_max IS NOT NULL) / count(*), 6) AS found_share, CASE WHEN bool_or(ord % 997 = 5) AND normalized_role LIKE 'Data%' THEN 'failed' ELSE 'success' END AS status, CASE WHEN bool_or(ord % 997 = 5) AND normalized_role LIKE 'Data%' THEN 'page not delivered' END AS error FROM parsed GROUP BY normalized_role"),

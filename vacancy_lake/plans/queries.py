@@ -312,14 +312,28 @@ def _(spark, sf_dir):
 
 @query("M10_stream_ingest")
 def _(spark, sf_dir):
-    """Pages as a file stream, upserted insert-only; the second run finds nothing new."""
+    """Pages as a file stream, upserted insert-only; neither the second run nor one that has lost its
+    checkpoint finds anything new."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
-    landing, target, marks = (scratch_path(spark, n) for n in ("landing", "target", "marks"))
+    landing, target, marks, others = (scratch_path(spark, n) for n in ("landing", "target", "marks", "marks"))
     pages.write.parquet(landing)
-    for _ in range(2):
+    for checkpoint in (marks, marks, others):
+        records = stream.read_stream(spark, landing, pages.schema, "parquet")
+        stream.ingest(records, target, checkpoint, order=["page_id"]).awaitTermination()
+    return stream.read_target(spark, target).select("page_id", "normalized_url")
+
+
+@query("M10_lost_checkpoint")
+def _(spark, sf_dir):
+    """Two thirds of the pages land; the rest and some of the first land elsewhere after the checkpoint is lost."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    target = scratch_path(spark, "target")
+    for part in ("page_id % 3 <> 0", "page_id % 2 = 0 OR page_id % 3 = 0"):
+        landing, marks = scratch_path(spark, "landing"), scratch_path(spark, "marks")
+        pages.filter(part).write.parquet(landing)
         records = stream.read_stream(spark, landing, pages.schema, "parquet")
         stream.ingest(records, target, marks, order=["page_id"]).awaitTermination()
-    return spark.read.parquet(target).select("page_id", "normalized_url")
+    return stream.read_target(spark, target).select("page_id", "normalized_url")
 
 
 @query("M11_repair_titles")
