@@ -368,7 +368,7 @@ ORACLES["R4_summary"] = silver(
 
 ORACLES |= {
     "R1_stage_selection": ORACLES["V1_validity"],
-    "S1_read_records": postings("SELECT title, company, location, salary, experience, url FROM postings"),
+    **dict.fromkeys(["S1_read_records", "S1_read_arrays"], postings("SELECT title, company, location, salary, experience, url FROM postings")),
     "S2_read_silver": silver("SELECT job_id, normalized_role, salary_max, array_to_string(skills, ',') AS skills FROM silver"),
     "S3_read_by_suffix": silver("SELECT job_id, normalized_role, CASE WHEN len(skills) = 0 THEN '[]' ELSE '[\"' || array_to_string(skills, '\",\"') || '\"]' END AS skills FROM silver"),
     "S7_read_pages": "SELECT CAST(sum(length(regexp_replace(html, '\\s+', ' ', 'g'))) AS BIGINT) AS chars, true AS named FROM pages",

@@ -590,6 +590,17 @@ def _(spark, sf_dir):
     return io.read_records(spark, path, schemas.LISTING, multi_line=False)
 
 
+@query("S1_read_arrays")
+def _(spark, sf_dir):
+    """Files of one array each, read by splits."""
+    path = scratch_path(spark, "arrays")
+    record = F.to_json(F.struct("title", "company", "location", "salary", "experience", "url"))
+    arrays = postings(spark, sf_dir).groupBy(F.floor(F.col("ord") / 5000).alias("part")).agg(F.collect_list(record).alias("records"))
+    text = F.concat(F.lit("[\n"), F.array_join("records", ",\n"), F.lit("\n]"))
+    arrays.select("part", text.alias("value")).write.partitionBy("part").text(path)
+    return io.read_records(spark, path, schemas.LISTING, whole_file_bytes=0)
+
+
 @query("S2_read_silver")
 def _(spark, sf_dir):
     path = scratch_path(spark, "silver") + ".parquet"

@@ -10,20 +10,32 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schemas
+from .json_array import read_array
 
 
 def empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
     return spark.createDataFrame([], schema)
 
 
-def read_records(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = True) -> DataFrame:
-    """JSON records (a file with one array, or with ``multi_line=False`` one object a line).
+#: Files of one array up to this size are read whole by a task; larger ones by splits.
+WHOLE_FILE_BYTES = 32 << 20
 
-    A missing path gives an empty table; a malformed file or line gives no rows.
+
+def read_records(
+    spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = True, whole_file_bytes: int = WHOLE_FILE_BYTES
+) -> DataFrame:
+    """JSON records (files with one array each, or with ``multi_line=False`` one object a line).
+
+    A missing path gives an empty table; a malformed file or line gives no rows.  Where a file of one array is larger
+    than ``whole_file_bytes``, files are cut into splits, with the same rows.
     """
     with_bad = T.StructType([*schema.fields, T.StructField("_corrupt_record", T.StringType())])
     reader = spark.read.schema(with_bad).option("multiLine", multi_line).option("mode", "PERMISSIVE")
     try:
+        # Sizes come from the listing, contents are not read.
+        largest = spark.read.format("binaryFile").load(path).agg(F.max("length")).first()[0] if multi_line else 0
+        if (largest or 0) > whole_file_bytes:
+            return read_array(spark, path, schema)
         df = reader.json(path)
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
