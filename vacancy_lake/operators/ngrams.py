@@ -2,9 +2,17 @@
 
 from __future__ import annotations
 
+import itertools
+from collections import Counter
+from collections.abc import Iterator, Sequence
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.scratch import scratch_path
+
 #: Words that name no skill.
 STOPWORDS = [
     "experience", "requirement", "description", "job", "work", "team", "skill",
@@ -36,11 +44,104 @@ def ngrams_of(words: Column, most: int = 3) -> Column:
     return F.concat(*[runs(n) for n in range(1, most + 1)])
 
 
-def ngram_counts(df: DataFrame, text: Column, most: int = 3, min_count: int = 3, limit: int | None = 500) -> DataFrame:
-    """gram, count of the most frequent n-grams, counted within rows; equals by gram."""
-    grams = df.select(tokens(text).alias("words")).select(F.explode(ngrams_of(F.col("words"), most)).alias("gram"))
-    counted = grams.groupBy("gram").agg(F.count("*").alias("count")).filter(F.col("count") >= min_count)
-    ordered = counted.orderBy(F.desc("count"), "gram")
+#: Share of a task's words below which a count is not passed on: first try, and second if that leaves the top open.
+SHARES = (5e-6, 1e-6)
+
+
+#: A task hands on its counts when it holds so many different n-grams.
+COUNTED = 500_000
+
+
+def _grams(words: list[str], most: int) -> Iterator[str]:
+    for n in range(1, most + 1):
+        yield from map(" ".join, zip(*[words[k:] for k in range(n)], strict=False))
+
+
+def _counts(counts: dict[str | None, int]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], names=["gram", "n"])
+
+
+def heavy_hitters(words: DataFrame, most: int, share: float) -> DataFrame:
+    """gram, n: lower bounds of the counts in ``words`` (a column of words joined by spaces), and one row with a null gram.
+
+    Each task keeps as many counters as can have over ``share`` of its n-grams; where more are needed, all are
+    lessened and the smallest go.  By no more than the null row's n is any count too low, a missing one's too.
+    """
+    room = int(1 / share)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts, seen, lost = Counter(), 0, 0
+        for batch in batches:
+            for row in batch.column(0).to_pylist():
+                words = row.split() if row else []
+                counts.update(_grams(words, most))
+                seen += sum(max(0, len(words) - n) for n in range(most))
+                if len(counts) > 4 * room:
+                    values = np.fromiter(counts.values(), np.int64, len(counts))
+                    less = int(np.partition(values, len(values) - room)[len(values) - room])
+                    counts = Counter({g: n - less for g, n in counts.items() if n > less})
+                    lost += less
+        least = int(share * seen)
+        yield _counts({g: n for g, n in counts.items() if n > least} | {None: lost + least})
+
+    found = words.mapInArrow(run, "gram string, n long")
+    return found.groupBy("gram").agg(F.sum("n").alias("n"))
+
+
+def _heavy_words(words: DataFrame, limit: int, shares: Sequence[float]) -> list[str] | None:
+    """All words that an n-gram among the ``limit`` most frequent may have; None if the bounds leave that open.
+
+    The last of the ``limit`` first words has some count; that of the last n-gram is no smaller, as words are n-grams,
+    and no n-gram stands more often than its words.
+    """
+    for share in shares:
+        folder = scratch_path(words.sparkSession, "words")
+        heavy_hitters(words, 1, share).write.parquet(folder)
+        found = words.sparkSession.read.schema("gram string, n long").parquet(folder)
+        lost = found.filter("gram IS NULL").agg(F.sum("n")).first()[0] or 0
+        top = found.filter("gram IS NOT NULL").orderBy(F.desc("n")).limit(limit).agg(F.min("n"), F.count("*")).first()
+        # Beyond twice what may be lost no word can be missing, and at most one for each ``lost`` words reaches it.
+        if top[1] == limit and top[0] > 2 * lost:
+            return [r.gram for r in found.filter(F.col("gram").isNotNull() & (F.col("n") + lost >= top[0])).collect()]
+    return None
+
+
+def _counts_of_heavy(words: DataFrame, most: int, heavy: list[str]) -> DataFrame:
+    """gram, count of all n-grams of ``heavy`` words."""
+    known = words.sparkSession.sparkContext.broadcast(frozenset(heavy))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts, of = Counter(), known.value
+        for batch in batches:
+            for row in batch.column(0).to_pylist():
+                for is_heavy, run in itertools.groupby(row.split() if row else [], of.__contains__):
+                    if is_heavy:
+                        counts.update(_grams(list(run), most))
+            if len(counts) > COUNTED:
+                yield _counts(counts)
+                counts = Counter()
+        yield _counts(counts)
+
+    return words.mapInArrow(run, "gram string, n long").groupBy("gram").agg(F.sum("n").alias("count"))
+
+
+def ngram_counts(
+    df: DataFrame, text: Column, most: int = 3, min_count: int = 3, limit: int | None = 500, shares: Sequence[float] = SHARES
+) -> DataFrame:
+    """gram, count of the most frequent n-grams, counted within rows; equals by gram.
+
+    Two passes: bounded counters give all words that the ``limit`` first can have, then only n-grams of these are
+    counted, exactly.  Where the bounds do not tell them from the rest, and without a limit, all n-grams are counted.
+    """
+    split = df.select(tokens(text).alias("words"))
+    words = split.select(F.array_join("words", " ").alias("words"))
+    heavy = _heavy_words(words, limit, shares) if limit else None
+    if heavy is not None:
+        counted = _counts_of_heavy(words, most, heavy)
+    else:
+        grams = split.select(F.explode(ngrams_of(F.col("words"), most)).alias("gram"))
+        counted = grams.groupBy("gram").agg(F.count("*").alias("count"))
+    ordered = counted.filter(F.col("count") >= min_count).orderBy(F.desc("count"), "gram")
     return ordered.limit(limit) if limit else ordered
 
 
