@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import bisect
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -128,16 +130,16 @@ def salary_places(html: str) -> dict[str, list[str]]:
     """Texts that may be a salary: what stands around a label in its parent, for each kind of label
     the first; the first element of each salary class and of each salary attribute."""
     tree = _Tree(html)
-    nodes = range(1, len(tree.nodes))
     around = []
     for tag, label in SALARY_LABELS:
-        at = next((k for k in nodes if tree.nodes[k]["tag"] == tag and label in tree.text(k)), None)
+        at = next((k for k in tree.by_tag.get(tag, []) if tree.holds(k, label)), None)
         if at is not None:
             whole, own = tree.text(tree.nodes[at]["parent"]), tree.text(at)
             around.append(whole.replace(own, "", 1).strip())
-    marks = [lambda n, c=c: c in n["class"].split() for c in SALARY_CLASSES]
-    marks += [lambda n: "salary" in n["attrs"].get("data-controller", ""), lambda n: "data-salary" in n["attrs"]]
-    marked = [next((tree.text(k) for k in nodes if fits(tree.nodes[k])), "") for fits in marks]
+    marks = [tree.by_class.get(c, []) for c in SALARY_CLASSES]
+    nodes = range(1, len(tree.nodes))
+    marks += [[k for k in nodes if "salary" in tree.nodes[k]["attrs"].get("data-controller", "")], [k for k in nodes if "data-salary" in tree.nodes[k]["attrs"]]]
+    marked = [tree.text(found[0]) if found else "" for found in marks]
     return {"labels": [x for x in around if x], "marked": [x for x in marked if x]}
 
 
@@ -236,83 +238,101 @@ def brand_description(html: Column) -> Column:
 
 
 class _Tree(HTMLParser):
-    """Elements in document order with their attributes, parent and direct children."""
+    """Elements in document order with their attributes and parent.
+
+    The page's text is one buffer, its white space collapsed; an element is an interval of it, and those inside it
+    are the elements up to its ``last``.  A label is looked for in the buffer once.
+    """
 
     EMPTY = {"br", "img", "meta", "link", "input", "hr"}
 
     def __init__(self, html: str) -> None:
         super().__init__(convert_charrefs=True)
-        self.nodes: list[dict] = [{"tag": "", "class": "", "attrs": {}, "parent": None, "kids": [], "text": []}]
-        self.open = [0]
+        self.nodes: list[dict] = [{"tag": "", "class": "", "attrs": {}, "parent": None, "own": [], "from": 0, "letters": 0}]
+        self.open, self.opened = [0], Counter()
+        self.by_tag: dict[str, list[int]] = {}
+        self.by_class: dict[str, list[int]] = {}
+        self.size, self.letters, self.spaced, pieces = 0, 0, True, []
+        self.pieces, self.places = pieces, {}
         self.feed(html)
+        self._close(0)
+        self.buffer = "".join(pieces)
+
+    def _close(self, depth: int) -> None:
+        for k in self.open[depth:]:
+            node = self.nodes[k]
+            node["to"], node["last"], node["letters"] = self.size, len(self.nodes) - 1, self.letters - node["letters"]
+            self.opened[node["tag"]] -= 1
+        del self.open[depth:]
 
     def handle_starttag(self, tag, attrs):
         attrs = {k: v or "" for k, v in attrs}
-        node = {"tag": tag, "class": attrs.get("class", ""), "attrs": attrs, "parent": self.open[-1], "kids": [], "text": []}
-        self.nodes[self.open[-1]]["kids"].append(len(self.nodes))
-        self.nodes[self.open[-1]]["text"].append(len(self.nodes))
-        self.nodes.append(node)
-        if tag not in self.EMPTY:
-            self.open.append(len(self.nodes) - 1)
+        k, of_class = len(self.nodes), attrs.get("class", "")
+        self.nodes.append({"tag": tag, "class": of_class, "attrs": attrs, "parent": self.open[-1], "own": [], "from": self.size, "letters": self.letters})
+        self.by_tag.setdefault(tag, []).append(k)
+        for c in dict.fromkeys(of_class.split()):
+            self.by_class.setdefault(c, []).append(k)
+        self.open.append(k)
+        self.opened[tag] += 1
+        if tag in self.EMPTY:
+            self._close(len(self.open) - 1)
 
     def handle_endtag(self, tag):
-        for k in range(len(self.open) - 1, 0, -1):
-            if self.nodes[self.open[k]]["tag"] == tag:
-                del self.open[k:]
-                break
+        if tag and self.opened[tag]:
+            depth = len(self.open) - 1
+            while self.nodes[self.open[depth]]["tag"] != tag:
+                depth -= 1
+            self._close(depth)
 
     def handle_data(self, data):
-        self.nodes[self.open[-1]]["text"].append(data)
+        self.nodes[self.open[-1]]["own"].append(data)
+        text = re.sub(r"\s+", " ", data)
+        self.letters += len(text) - text.count(" ")
+        if self.spaced:
+            text = text.removeprefix(" ")
+        if text:
+            self.pieces.append(text)
+            self.size += len(text)
+            self.spaced = text[-1] == " "
 
     def text(self, k: int) -> str:
-        out, todo = [], [k]
-        while todo:
-            at = todo.pop()
-            if isinstance(at, str):
-                out.append(at)
-            else:
-                todo.extend(reversed(self.nodes[at]["text"]))
-        return re.sub(r"\s+", " ", "".join(out)).strip()
-
-    def of_letters(self, n: int) -> list[int]:
-        """Nodes whose text has ``n`` characters that are no white space, counted from the leaves up."""
-        size = [0] * len(self.nodes)
-        for k in range(len(self.nodes) - 1, 0, -1):  # a node comes before those inside it
-            size[k] += sum(len("".join(x.split())) for x in self.nodes[k]["text"] if isinstance(x, str))
-            size[self.nodes[k]["parent"]] += size[k]
-        return [k for k in range(1, len(size)) if size[k] == n]
-
-    def below(self, k: int) -> list[int]:
-        out, todo = [], list(reversed(self.nodes[k]["kids"]))
-        while todo:
-            at = todo.pop()
-            out.append(at)
-            todo.extend(reversed(self.nodes[at]["kids"]))
-        return out
+        return self.buffer[self.nodes[k]["from"] : self.nodes[k]["to"]].strip()
+
+    def holds(self, k: int, label: str) -> bool:
+        """True if ``label`` (without white space at its ends) stands in the text of ``k``."""
+        places = self.places.get(label)
+        if places is None:
+            places = self.places[label] = [m.start() for m in re.finditer(f"(?={re.escape(label)})", self.buffer)]
+        at = bisect.bisect_left(places, self.nodes[k]["from"])
+        return at < len(places) and places[at] + len(label) <= self.nodes[k]["to"]
+
+    def inside(self, k: int, found: list[int]) -> int | None:
+        """The first of ``found`` (in document order) that lies within ``k``."""
+        at = bisect.bisect_right(found, k)
+        return found[at] if at < len(found) and found[at] <= self.nodes[k]["last"] else None
 
 
 def label_value(tree: _Tree, label: str) -> str:
     """Value that a label element introduces: its next sibling, a value element or bare text of its
     item, or the rest of the label's own text."""
-    named = [k for k in range(1, len(tree.nodes)) if tree.nodes[k]["tag"] in ("strong", "b") or "label" in tree.nodes[k]["class"]]
-    found = [k for k in named if label in tree.text(k)] or [
-        k for k in tree.of_letters(len("".join(label.split()))) if tree.text(k) == label
-    ]
-    if not found:
+    nodes = tree.nodes
+    named = (k for k in range(1, len(nodes)) if (nodes[k]["tag"] in ("strong", "b") or "label" in nodes[k]["class"]) and tree.holds(k, label))
+    letters = len("".join(label.split()))
+    alone = (k for k in range(1, len(nodes)) if nodes[k]["letters"] == letters and tree.text(k) == label)
+    at = next(named, None) or next(alone, None)
+    if at is None:
         return ""
-    at = found[0]
-    family = tree.nodes[tree.nodes[at]["parent"]]["kids"]
-    after = family[family.index(at) + 1 :]
-    if after and tree.text(after[0]):
-        return tree.text(after[0])
-    up = tree.nodes[at]["parent"]
-    while up and "item" not in tree.nodes[up]["class"]:
-        up = tree.nodes[up]["parent"]
+    after = nodes[at]["last"] + 1
+    if after < len(nodes) and nodes[after]["parent"] == nodes[at]["parent"] and tree.text(after):
+        return tree.text(after)
+    up = nodes[at]["parent"]
+    while up and "item" not in nodes[up]["class"]:
+        up = nodes[up]["parent"]
     if up:
-        values = [k for k in tree.below(up) if "value" in tree.nodes[k]["class"]]
-        if values:
-            return tree.text(values[0])
-        bare = " ".join(x.strip() for x in tree.nodes[up]["text"] if isinstance(x, str)).strip()
+        value = next((k for k in range(up + 1, nodes[up]["last"] + 1) if "value" in nodes[k]["class"]), None)
+        if value is not None:
+            return tree.text(value)
+        bare = " ".join(x.strip() for x in nodes[up]["own"]).strip()
         if bare and bare != label:
             return bare
     return tree.text(at).replace(label, "", 1).strip()
@@ -338,20 +358,20 @@ CARD_FIELDS = {
 def cards_of(html: str, card: str, base_url: str) -> list[dict]:
     """Listing cards of one page; a card without a title is left out."""
     tree = _Tree(html)
-    out = []
-    for k in range(1, len(tree.nodes)):
-        if card not in tree.nodes[k]["class"].split():
-            continue
-        inside = tree.below(k)
-        heads = [j for j in inside if tree.nodes[j]["tag"] == "a" and (tree.nodes[tree.nodes[j]["parent"]]["tag"] == "h3" or "title" in tree.nodes[tree.nodes[j]["parent"]]["class"])]
-        title = tree.text(heads[0]) if heads else ""
-        title = title or next((tree.nodes[j]["attrs"]["title"] for j in inside if tree.nodes[j]["attrs"].get("title")), "")
+    nodes, out = tree.nodes, []
+    heads = [k for k in tree.by_tag.get("a", []) if nodes[nodes[k]["parent"]]["tag"] == "h3" or "title" in nodes[nodes[k]["parent"]]["class"]]
+    titled = [k for k in range(1, len(nodes)) if nodes[k]["attrs"].get("title")]
+    for k in tree.by_class.get(card, []):
+        head, named = tree.inside(k, heads), tree.inside(k, titled)
+        title = tree.text(head) if head else ""
+        title = title or (nodes[named]["attrs"]["title"] if named else "")
         if not title:
             continue
         row = {"title": title}
         for name, cls in CARD_FIELDS.items():
-            row[name] = next((tree.text(j) for j in inside if cls in tree.nodes[j]["class"].split()), "")
-        url = tree.nodes[heads[0]]["attrs"].get("href") if heads else None
+            found = tree.inside(k, tree.by_class.get(cls, []))
+            row[name] = tree.text(found) if found else ""
+        url = nodes[head]["attrs"].get("href") if head else None
         row["url"] = base_url + url if url and not url.startswith("http") else url
         out.append(row)
     return out
