@@ -292,7 +292,7 @@ ORACLES: dict[str, str] = {
     "M7_insert_counts": insert_counts_sql(ARRIVALS),
     "M7_insert_only_all": insert_only_sql("SELECT * FROM new"),
     "M7_insert_counts_all": insert_counts_sql("SELECT * FROM new"),
-    "M8_overlay": postings("SELECT ord, CASE WHEN ord % 2 = 0 THEN NULL ELSE company END AS company, CASE WHEN ord % 3 <> 0 THEN title END AS title, CASE WHEN ord % 2 = 0 THEN deadline END AS deadline FROM postings WHERE ord % 3 <> 0 OR ord % 2 = 0"),
+    **dict.fromkeys(["M8_overlay", "M8_overlay_files"], postings("SELECT ord, CASE WHEN ord % 2 = 0 THEN NULL ELSE company END AS company, CASE WHEN ord % 3 <> 0 THEN title END AS title, CASE WHEN ord % 2 = 0 THEN deadline END AS deadline FROM postings WHERE ord % 3 <> 0 OR ord % 2 = 0")),
     **{n: f"WITH {SPLIT} SELECT page_id, key FROM old WHERE NOT EXISTS (SELECT 1 FROM new WHERE new.key = old.key)" for n in ("M9_pending", "M9_pending_all")},
     **{n: f"WITH {SPLIT} SELECT page_id, key FROM old WHERE NOT EXISTS (SELECT 1 FROM new WHERE new.key = old.key) AND key IN (SELECT key FROM ({PAGE_KEYS}) WHERE page_id % 5 = 0 AND key IS NOT NULL)" for n in ("M10_resume", "M10_resume_all")},
     "M10_lost_checkpoint": f"WITH {SPLIT}, first AS (SELECT min(page_id) AS page_id, key FROM old WHERE key IS NOT NULL GROUP BY key) SELECT page_id, key AS normalized_url FROM first UNION ALL SELECT min(page_id), key FROM new WHERE key IS NOT NULL AND NOT EXISTS (SELECT 1 FROM old WHERE old.key = new.key) GROUP BY key",

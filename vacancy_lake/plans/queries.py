@@ -12,7 +12,7 @@ from .. import schemas
 from ..functions import normalise as N
 from ..functions import pages as H
 from ..functions.text import collapse_spaces, keywords_in, phrases_in
-from ..operators import gold, ingest, ngrams, quality, silver
+from ..operators import gold, ingest, keyed_files, ngrams, quality, silver
 from ..sources import io
 from ..sources.postings import merge_sources, postings
 from ..sources.scratch import scratch_path
@@ -288,6 +288,19 @@ def _(spark, sf_dir):
     return ingest.overlay(old, new, "ord")
 
 
+@query("M8_overlay_files")
+def _(spark, sf_dir):
+    """The same overlay on a table of slices: a small update of the last keys, then a large one."""
+    p = postings(spark, sf_dir)
+    target = scratch_path(spark, "keyed")
+    keyed_files.create_keyed(p.filter("ord % 3 <> 0").select("ord", "company", "title"), target, "ord", rows_per_slice=2000)
+    last = p.agg(F.max("ord").alias("last")).first().last
+    new = p.filter("ord % 2 = 0").select("ord", F.lit(None).cast("string").alias("company"), "deadline")
+    for part in (F.col("ord") > last - 1000, F.col("ord") <= last - 1000):
+        keyed_files.overlay_keyed(new.filter(part), target, "ord", rows_per_slice=2000)
+    return keyed_files.read_keyed(spark, target).select("ord", "company", "title", "deadline")
+
+
 @query("M9_pending")
 def _(spark, sf_dir):
     return ingest.pending(*old_and_new(spark, sf_dir), "key")
