@@ -11,6 +11,11 @@ from ..functions import normalise as N
 from ..functions.text import given, join_given, keywords_in, phrases_in
 
 
+#: Why a row is left out.
+BAD_SALARY = "salary: number token without a digit"
+REASONS = (BAD_SALARY,)
+
+
 def normalised(merged: DataFrame, country: str = "Vietnam", default_source: str = "TopCV") -> DataFrame:
     """SILVER columns and ``reject_reason`` (null for a good row) of merged postings.
 
@@ -58,7 +63,7 @@ def normalised(merged: DataFrame, country: str = "Vietnam", default_source: str
         "domain_keywords": phrases_in(F.col("__text"), V.DOMAINS),
         "crawled_at": F.col("crawled_at"),
     }
-    reason = F.when(F.col("__salary.bad_number"), F.lit("salary: number token without a digit"))
+    reason = F.when(F.col("__salary.bad_number"), F.lit(BAD_SALARY))
     return df.select(*[columns[f.name].alias(f.name) for f in schemas.SILVER], reason.alias("reject_reason"))
 
 
