@@ -85,5 +85,12 @@ def test_a_record_over_many_splits_and_many_tasks(spark, tmp_path):
     finally:
         for k in ("maxPartitionBytes", "openCostInBytes"):
             spark.conf.unset(f"spark.sql.files.{k}")
-    assert len(io.read_records(spark, str(path), SCHEMA).collect()) == len(rows)
+    assert io.read_records(spark, str(path), SCHEMA).count() == len(rows)
     assert json_array.read_array(spark, str(tmp_path / "missing"), SCHEMA).count() == 0
+
+
+def test_records_can_be_counted(spark, tmp_path):
+    (tmp_path / "lines.json").write_text('{"n": 1}\n{"a": "x"}\nno json\n')
+    (tmp_path / "array.json").write_text('[{"n": 1}, {"o": {"x": []}}]')
+    assert io.read_records(spark, str(tmp_path / "lines.json"), SCHEMA, multi_line=False).count() == 2
+    assert io.read_records(spark, str(tmp_path / "array.json"), SCHEMA).count() == 2

@@ -41,8 +41,9 @@ def read_records(
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
         return empty(spark, schema)
-    # Selecting all fields first: Spark does not read the corrupt column alone.
-    return df.filter(F.col("_corrupt_record").isNull()).select(*schema.names)
+    # Spark does not read the corrupt column alone, as in a count: the filter names a field, too, and is true for any.
+    field = F.coalesce(F.length(F.col(schema.names[0]).cast("string")), F.lit(0)) >= 0
+    return df.filter(F.col("_corrupt_record").isNull() & field).select(*schema.names)
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
