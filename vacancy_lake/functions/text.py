@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import unicodedata
 from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column
@@ -54,50 +55,90 @@ def join_given(*columns: Column) -> Column:
     return F.lower(F.concat_ws(" ", *[F.when(given(c), c) for c in columns]))
 
 
-def keyword_pattern(keyword: str, unicode_borders: bool = False) -> str:
-    """Pattern of a keyword on its own; its spaces stand for any white space."""
-    inner = r"\s+".join(re.escape(p) for p in keyword.split(" "))
-    if unicode_borders:
-        return NO_WORD_BEFORE + inner + NO_WORD_AFTER
-    return NO_ALNUM_BEFORE + inner + NO_ALNUM_AFTER
+def _ascii_alnum(c: str) -> bool:
+    return c.isascii() and c.isalnum()
 
 
-def holds_keyword(text: Column, keyword: str, pattern: str) -> Column:
-    """True if ``pattern`` of a literal keyword is found; most texts end at its first word already."""
-    return text.contains(keyword.split(" ")[0]) & text.rlike(pattern)
+def _word_character(c: str) -> bool:
+    return c == "_" or unicodedata.category(c)[0] in "LN"
 
 
-def keywords_in(text: Column, vocabulary: Iterable[str]) -> Column:
-    """Sorted distinct keywords of ``vocabulary`` that stand in the lower-cased ``text`` between
-    characters other than ASCII letters and digits.
+def _trie_pattern(words: Iterable[str], border: str, spaces: str | None) -> str:
+    """Pattern of all ``words`` as one character trie: a text position is compared with shared beginnings
+    once, however many words begin so.  ``border`` follows each word; ``spaces`` stands for a space."""
+    root: dict = {}
+    for w in words:
+        node = root
+        for c in w:
+            node = node.setdefault(c, {})
+        node[None] = {}
+
+    def literal(c: str) -> str:
+        return spaces if spaces and c == " " else re.escape(c)
+
+    def branches(node: dict) -> str:
+        each = []
+        for c in sorted(c for c in node if c is not None):
+            child, head = node[c], literal(c)
+            while len(child) == 1 and None not in child:
+                (c, child), = child.items()
+                head += literal(c)
+            each.append(head + branches(child))
+        if None in node:
+            each.append(border)
+        return each[0] if len(each) == 1 else "(?:" + "|".join(each) + ")"
+
+    return branches(root)
+
+
+def _layers(words: Iterable[str], inside: Callable[[str], bool]) -> list[list[str]]:
+    """``words`` dealt so that of one layer no two can end properly at the same start of a text: one that
+    begins with another, followed by no character that is ``inside`` a word, is one layer deeper."""
+    known, depth = set(words), {}
+    for w in sorted(known, key=len):
+        starts = [w[:k] for k in range(1, len(w)) if not inside(w[k])]
+        depth[w] = max((depth[p] + 1 for p in starts if p in known), default=0)
+    return [[w for w in sorted(known) if depth[w] == d] for d in range(max(depth.values(), default=-1) + 1)]
+
+
+def _words_found(text: Column, vocabulary: Iterable[str], before: str, after: str, inside: Callable[[str], bool], spaces: str | None) -> Column:
+    """Sorted distinct words of ``vocabulary`` that stand in ``text`` between the borders.
 
-    Keywords of letters and digits only are found by intersecting the text's tokens with the
-    vocabulary; only the others run an expression each.
+    The vocabulary is compiled into one pattern per layer (as many as words begin with each other, two or
+    three as a rule), so the plan holds no expression per word.  A look-ahead takes the word at every
+    position, overlapping ones too.
     """
     words = sorted(set(vocabulary))
-    plain = [w for w in words if re.fullmatch("[a-z0-9]+", w)]
-    rest = [w for w in words if w not in set(plain)]
+    none = F.array().cast("array<string>")
+    if not words:
+        return none
+    # Words whose own white space is not single inner spaces run an expression each.
+    odd = [w for w in words if not w or (spaces and " ".join(re.split(r"[ \t\n\x0b\f\r]+", w.strip(" \t\n\x0b\f\r"))) != w)]
+    layers = _layers([w for w in words if w not in set(odd)], inside)
 
     def found(text: Column) -> Column:
-        parts = [F.array_compact(F.array(*[F.when(holds_keyword(text, w, keyword_pattern(w)), F.lit(w)) for w in rest]))] if rest else []
-        if plain:
-            parts.append(F.array_intersect(F.split(text, "[^a-z0-9]+"), F.array(*map(F.lit, plain))))
-        return F.array_sort(F.concat(*parts))
+        parts = [
+            F.regexp_extract_all(text, F.lit(f"{before}(?=({_trie_pattern(layer, after, spaces)}))"), F.lit(1)) for layer in layers
+        ]
+        if spaces and any(" " in w for layer in layers for w in layer):
+            parts = [F.transform(F.array_distinct(p), lambda w: F.regexp_replace(w, r"\s+", " ")) for p in parts]
+        if odd:
+            each = [before + (r"\s+" if spaces else " ").join(re.escape(p) for p in w.split(" ")) + after for w in odd]
+            parts.append(F.array_compact(F.array(*[F.when(text.rlike(p), F.lit(w)) for w, p in zip(odd, each)])))
+        return F.array_sort(F.array_distinct(F.concat(*parts)))
 
-    none = F.array().cast("array<string>")
-    return F.coalesce(let(text, found), none) if words else none
+    return F.coalesce(let(text, found), none)
 
 
-def phrases_in(text: Column, vocabulary: Iterable[str]) -> Column:
-    """Sorted distinct keywords that stand in the lower-cased ``text`` as whole Unicode words."""
-    words = sorted(set(vocabulary))
+def keywords_in(text: Column, vocabulary: Iterable[str]) -> Column:
+    """Sorted distinct keywords of ``vocabulary`` that stand in the lower-cased ``text`` between
+    characters other than ASCII letters and digits; their spaces stand for any white space.  Null: none."""
+    return _words_found(text, vocabulary, NO_ALNUM_BEFORE, NO_ALNUM_AFTER, _ascii_alnum, r"\s+")
 
-    def found(text: Column) -> Column:
-        each = [F.when(holds_keyword(text, w, NO_WORD_BEFORE + re.escape(w) + NO_WORD_AFTER), F.lit(w)) for w in words]
-        return F.array_sort(F.array_compact(F.array(*each)))
 
-    none = F.array().cast("array<string>")
-    return F.coalesce(let(text, found), none) if words else none
+def phrases_in(text: Column, vocabulary: Iterable[str]) -> Column:
+    """Sorted distinct keywords that stand in the lower-cased ``text`` as whole Unicode words.  Null: none."""
+    return _words_found(text, vocabulary, NO_WORD_BEFORE, NO_WORD_AFTER, _word_character, None)
 
 
 def first_contained(text: Column, rules: Iterable[tuple[str, Column]]) -> Column:

@@ -30,6 +30,7 @@ def normalised(merged: DataFrame, country: str = "Vietnam", default_source: str
         N.parse_experience(F.col("experience")).alias("__exp"),
         N.derive_work_mode(F.col("working_time"), F.col("description"), F.col("requirements")).alias("__mode"),
         join_given(F.col("title"), F.col("description"), F.col("requirements")).alias("__text"),
+        N.normalize_role(F.col("title")).alias("__role"),
     )
     df = df.select("*", F.inline(F.array(shared)))
     columns = {
@@ -55,7 +56,7 @@ def normalised(merged: DataFrame, country: str = "Vietnam", default_source: str
         "work_mode": F.col("__mode.work_mode"),
         "job_work_from_home": F.col("__mode.job_work_from_home"),
         "seniority_level": N.derive_seniority(F.col("title"), F.col("__exp.exp_min")),
-        "normalized_role": N.normalize_role(F.col("title")),
+        "normalized_role": F.col("__role"),
         "description": F.col("description"),
         "requirements": F.col("requirements"),
         "benefits": F.col("benefits"),
