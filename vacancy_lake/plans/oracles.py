@@ -404,3 +404,17 @@ ORACLES["S10_report_results"] = (
     "'completeness,validity,accuracy,uniqueness,timeliness' AS stages FROM results"
 )
 ORACLES["S10_report_markdown"] = f"SELECT stage, \"check\", count FROM ({_RESULTS})"
+ORACLES["G_kept_up_to_date"] = " UNION ALL ".join(
+    f"SELECT {q(table)} AS name, {keys} AS keys, round(CAST({number} AS DOUBLE), 6) AS number, round(CAST({more} AS DOUBLE), 6) AS more FROM ({ORACLES[name]})"
+    for table, name, keys, number, more in [
+        ("metrics", "G1_metrics", "top_role || '|' || top_location", "total_jobs", "avg_salary_max"),
+        ("salary_by_role", "G2_salary_by_role", "normalized_role", "salary_min_mean", "salary_max_mean"),
+        ("salary_by_seniority", "G3_salary_by_seniority", "seniority_level", "salary_max_mean", "NULL"),
+        ("heatmap_salary", "G4_heatmap_salary", "normalized_role || '|' || seniority_level", "salary_max_mean", "NULL"),
+        ("top_skills", "G5_top_skills", "skill", "count", "NULL"),
+        ("skills_by_role", "G6_skills_by_role", "normalized_role || '|' || skills", "count", "NULL"),
+        ("location_distribution", "G7_location_distribution", "location", "count", "NULL"),
+        ("work_mode_distribution", "G8_work_mode_distribution", "work_mode", "count", "NULL"),
+        ("top_domains", "G9_top_domains", "domain", "count", "NULL"),
+    ]
+)

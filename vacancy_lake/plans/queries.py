@@ -12,7 +12,7 @@ from .. import schemas
 from ..functions import normalise as N
 from ..functions import pages as H
 from ..functions.text import collapse_spaces, keywords_in, phrases_in
-from ..operators import gold, ingest, keyed_files, ngrams, quality, silver
+from ..operators import gold, gold_parts, ingest, keyed_files, ngrams, quality, silver
 from ..sources import io
 from ..sources.postings import merge_sources, postings
 from ..sources.scratch import scratch_path
@@ -663,6 +663,35 @@ def _(spark, sf_dir):
     return back["salary_by_role"].select("normalized_role", F.round("salary_max_mean", 6).alias("salary_max_mean"))
 
 
+def long_rows(tables: dict[str, DataFrame]) -> DataFrame:
+    """All rows of all tables: table, the text columns' values, a row's numbers."""
+    rows = []
+    for name, df in tables.items():
+        texts = [c for c, kind in df.dtypes if kind == "string"]
+        numbers = [c for c in df.columns if c not in texts]
+        rows.append(
+            df.select(
+                F.lit(name).alias("name"),
+                F.concat_ws("|", *[F.coalesce(c, F.lit("-")) for c in texts]).alias("keys"),
+                F.round(F.col(numbers[0]).cast("double"), 6).alias("number"),
+                F.round((F.col(numbers[1]) if len(numbers) > 1 else F.lit(None)).cast("double"), 6).alias("more"),
+            )
+        )
+    return reduce(DataFrame.unionByName, rows)
+
+
+@query("G_kept_up_to_date")
+def _(spark, sf_dir):
+    """All nine tables, row for row, from partial aggregates of three Silver batches, one of them given twice."""
+    store, whole = scratch_path(spark, "gold_parts"), written_silver(spark, sf_dir)
+    year = F.coalesce(F.substring("crawled_at", 1, 4), F.lit("")).cast("string")
+    early, middle = year < "1994", (year >= "1994") & (year < "1996")
+    gold_parts.put_batch(whole.filter(early | middle), store, "early")
+    for name, rows in (("early", early), ("middle", middle), ("late", ~early & ~middle)):
+        gold_parts.put_batch(whole.filter(rows), store, name)
+    return long_rows(gold_parts.read_tables(spark, store))
+
+
 @query("S6_append_landing")
 def _(spark, sf_dir):
     path = scratch_path(spark, "landing")
