@@ -132,6 +132,47 @@ def pending(listed: DataFrame, done: DataFrame, key: str) -> DataFrame:
     return listed.join(done.select(key), key, "left_anti")
 
 
+#: Bits of a bitmap row, as Spark's bitmap functions have them.
+BITMAP_BITS = 32_768
+#: A larger bitmap is not broadcast (two bytes a done key at 16 bits: 64 MB for 33 million keys).
+BITMAP_BYTES = 64 << 20
+
+
+def maybe_done(listed: DataFrame, done: DataFrame, key: str, bits: int) -> DataFrame:
+    """``listed`` with ``__maybe``: false where a bitmap of ``bits`` hashed done keys denies the row's key."""
+
+    def place(c: Column) -> Column:
+        return F.pmod(F.xxhash64(c), F.lit(bits))
+
+    where = place(F.col(key))
+    marks = done.select(F.col(key)).filter(F.col(key).isNotNull())
+    bitmap = marks.groupBy(F.floor(where / BITMAP_BITS).alias("__row")).agg(
+        F.bitmap_construct_agg((where % BITMAP_BITS)).alias("__bits")
+    )
+    rows = listed.withColumn("__place", where).withColumn("__row", F.floor(F.col("__place") / BITMAP_BITS))
+    at = (F.col("__place") % BITMAP_BITS).cast("int")
+    byte = F.conv(F.hex(F.substring(F.col("__bits"), F.floor(at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    held = F.col(key).isNotNull() & (F.getbit(byte, at % 8) == 1)
+    return rows.join(F.broadcast(bitmap), "__row", "left").select(*listed.columns, F.coalesce(held, F.lit(False)).alias("__maybe"))
+
+
+def pending_by_bitmap(listed: DataFrame, done: DataFrame, key: str, bits_per_key: int = 16, most_bytes: int = BITMAP_BYTES) -> DataFrame:
+    """The rows of ``pending`` for a large done set: rows whose key the bitmap of done keys denies are pending
+    at once, and only the others (all done ones, and one of ``bits_per_key`` of the rest) go to the exact join.
+
+    The done keys are counted first; a bitmap of over ``most_bytes`` is not built, and the exact join does it all.
+    A null key is pending; repeated rows stay.  Listed rows are read twice, done keys twice; what is saved is the
+    shuffle of pending rows.
+    """
+    order = [key, *[c for c in listed.columns if c != key]]
+    bits = -(-max(done.count(), 1) * bits_per_key // BITMAP_BITS) * BITMAP_BITS
+    if bits // 8 > most_bytes:
+        return pending(listed, done, key).select(*order)
+    rows = maybe_done(listed, done, key, bits)
+    rest = pending(rows.filter("__maybe"), done, key)
+    return rows.filter("NOT __maybe").select(*order).unionByName(rest.select(*order))
+
+
 def resume(listed: DataFrame, done: DataFrame, checkpoint: DataFrame, key: str) -> DataFrame:
     """Pending rows of a checkpoint."""
     return pending(listed, done, key).join(checkpoint.select(key), key, "left_semi")

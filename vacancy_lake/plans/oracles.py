@@ -418,3 +418,9 @@ ORACLES["G_kept_up_to_date"] = " UNION ALL ".join(
         ("top_domains", "G9_top_domains", "domain", "count", "NULL"),
     ]
 )
+ORACLES["M9_pending_by_bitmap"] = (
+    "SELECT o_orderkey, o_custkey FROM orders WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey AND l_returnflag = 'R')"
+)
+ORACLES["S6_land_once"] = silver(
+    "SELECT run, substr(crawled_at, 1, 4) AS crawl_date, normalized_role AS role, job_id AS id, title, job_url AS url FROM parsed, (SELECT unnest(['first', 'second']) AS run)"
+)

@@ -13,7 +13,7 @@ from ..functions import normalise as N
 from ..functions import pages as H
 from ..functions.text import collapse_spaces, keywords_in, phrases_in
 from ..operators import gold, gold_parts, ingest, keyed_files, ngrams, quality, silver
-from ..sources import io
+from ..sources import io, landing
 from ..sources.postings import merge_sources, postings
 from ..sources.scratch import scratch_path
 from ..streaming import ingest as stream
@@ -312,6 +312,13 @@ def _(spark, sf_dir):
     return ingest.resume(*old_and_new(spark, sf_dir), checkpoint, "key")
 
 
+@query("M9_pending_by_bitmap")
+def _(spark, sf_dir):
+    """Orders without a returned item."""
+    returned = table(spark, sf_dir, "lineitem").filter("l_returnflag = 'R'").select(F.col("l_orderkey").alias("o_orderkey"))
+    return ingest.pending_by_bitmap(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"), returned, "o_orderkey")
+
+
 @query("M9_pending_all")
 def _(spark, sf_dir):
     return ingest.pending(*old_and_new(spark, sf_dir), "key")
@@ -701,6 +708,16 @@ def _(spark, sf_dir):
     return spark.read.parquet(path).groupBy("crawl_date", "role").agg(F.count("*").alias("n"))
 
 
+@query("S6_land_once")
+def _(spark, sf_dir):
+    """Two runs, one of them given twice, in files by size."""
+    path = scratch_path(spark, "landing")
+    p = postings(spark, sf_dir).select("id", "title", "url", "crawled_at")
+    for run in ("first", "second", "first"):
+        landing.land(p, path, F.substring("crawled_at", 1, 4), N.normalize_role(F.col("title")), run, "parquet", rows_per_file=5000)
+    return landing.read_landing(spark, path).select("run", "crawl_date", "role", "id", "title", "url")
+
+
 @query("S7_read_pages")
 def _(spark, sf_dir):
     path = scratch_path(spark, "html")
