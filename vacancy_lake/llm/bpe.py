@@ -40,6 +40,11 @@ PATTERN = (
 )
 #: Distinct pieces a worker remembers: a bound on memory, not on results.
 PIECE_LIMIT = 300_000
+#: What the remembered pieces may weigh: characters of names (two bytes each), ids, and 200 bytes an entry.  Spaced
+#: text reaches PIECE_LIMIT first; text without spaces, whose pieces are whole paragraphs, reaches this.
+PIECE_BYTES = 96 << 20
+#: Words inside of pieces that are remembered beside, and the length of the longest of them.
+INNER_LIMIT, INNER_CHARS = 100_000, 32
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -89,7 +94,7 @@ class BytePairTable:
             self.shorter[i] = next((by_bytes[token[:n]] for n in range(len(token) - 1, 0, -1) if token[:n] in by_bytes), -1)
         self.decimal = [str(i).encode() for i in range(size)]
         self.compatible: dict[tuple[int, int], bool] = {}
-        self.remembered = lru_cache(PIECE_LIMIT)(lambda word: array("i", self.encode_word(word.encode())).tobytes())
+        self.remembered = lru_cache(INNER_LIMIT)(self.word_ids)
         self.split = regex.compile(PATTERN).findall
         self.cut = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
         # Decoding: all token bytes in one block, and where each id begins.
@@ -172,14 +177,18 @@ class BytePairTable:
         finally:
             self.merged[a, b] = known
 
+    def word_ids(self, word: str) -> bytes:
+        return array("i", self.encode_word(word.encode())).tobytes()
+
     def encode_piece(self, piece: str) -> bytes:
         """Ids, as 32-bit integers, of a piece that was cut at white space."""
         if piece in self.special:
             return array("i", [self.special[piece]]).tobytes()
         if ONE_WORD(piece):
-            return self.remembered(piece)
+            return self.remembered(piece) if len(piece) <= INNER_CHARS else self.word_ids(piece)
         parts = [[x] if ONE_WORD(x) else self.split(x) for x in PIECES.findall(piece)]
-        return b"".join([self.remembered(word) for words in parts for word in words])
+        known, other = self.remembered, self.word_ids
+        return b"".join([known(word) if len(word) <= INNER_CHARS else other(word) for words in parts for word in words])
 
     def decode(self, ids: np.ndarray) -> bytes:
         """Bytes of a sequence of ids, by the offset table."""
@@ -192,15 +201,16 @@ class PieceCache:
     A text whose white space is single spaces and line feeds between words is cut by splitting
     strings, any other by PIECES.  A piece goes by a name: a word after a space by itself, the first
     word of a later line with its line feed, anything else by a space and itself.  ``encode`` gets
-    the new pieces of many texts at once.  When full, the half that was used last stays.
+    the new pieces of many texts at once.  When full, by number or by weight, the half that was used last
+    stays; beyond that a worker holds the pieces of one call.
     """
 
-    def __init__(self, special: Sequence[str], encode: Callable[[list[str]], list], limit: int = PIECE_LIMIT) -> None:
+    def __init__(self, special: Sequence[str], encode: Callable[[list[str]], list], limit: int = PIECE_LIMIT, weight: int = PIECE_BYTES) -> None:
         self.cut = re.compile("(" + "|".join(map(re.escape, special)) + ")") if special else None
         self.special = set(special)
         self.encode = encode
-        self.half = max(1, limit // 2)
-        self.codes, self.values = Codes(), []
+        self.half, self.half_weight = max(1, limit // 2), weight // 2
+        self.codes, self.values, self.weight = Codes(), [], 0
         self.older: tuple[dict, list] = {}, []
 
     def names(self, text: str) -> list[str]:
@@ -221,15 +231,18 @@ class PieceCache:
 
     def of(self, texts: Sequence[str]) -> Iterator[list]:
         """For each text what its pieces give, in order."""
-        if len(self.codes) >= self.half:
-            self.older = self.codes, self.values
-            self.codes, self.values = Codes(), []
+        if len(self.codes) >= self.half or self.weight >= self.half_weight:
+            # A call's pieces may weigh more than a half by themselves: then none of them stay.
+            self.older = (self.codes, self.values) if self.weight < 2 * self.half_weight else ({}, [])
+            self.codes, self.values, self.weight = Codes(), [], 0
         look = self.codes.__getitem__
         coded = [list(map(look, self.names(text))) for text in texts]
         fresh, (known, was) = self.codes.fresh, self.older
         new = [name for name in fresh if name not in known]
         made = iter(self.encode([name[1:] if name[0] == " " else name if name[0] == "\n" else " " + name for name in new]))
-        self.values += [was[known[name]] if name in known else next(made) for name in fresh]
+        values = [was[known[name]] if name in known else next(made) for name in fresh]
+        self.weight += 200 * len(fresh) + 2 * sum(map(len, fresh)) + sum(map(len, values))
+        self.values += values
         self.codes.fresh = []
         for codes in coded:
             yield list(map(self.values.__getitem__, codes))

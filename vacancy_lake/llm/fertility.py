@@ -23,7 +23,8 @@ from .bpe import PATTERN
 
 #: Characters counted as symbols (fixed values).
 SYMBOLS = b"#*$%&|<>"
-WORD_LIMIT = 400_000
+#: Distinct words that a worker remembers, and bytes of these: bounds on memory, not on results.
+WORD_LIMIT, WORD_BYTES = 400_000, 8 << 20
 #: First code points of script blocks, in order, and the script from there on (None: no letters).
 BLOCKS = [
     (0x0000, None), (0x0041, "latin"), (0x005B, None), (0x0061, "latin"), (0x007B, None), (0x00C0, "latin"),
@@ -96,18 +97,19 @@ class WordMeasures:
 
     def __init__(self, paths: tuple[str, ...]) -> None:
         self.vocabularies = [Vocabulary(path) for path in paths]
-        self.codes = Codes()
+        self.codes, self.held = Codes(), 0
 
     def look_up(self, texts: list[list[bytes]]) -> list[np.ndarray]:
         """Codes of the words of each text, by which every vocabulary has their tokens."""
-        if len(self.codes) > WORD_LIMIT:
-            self.codes = Codes()
+        if len(self.codes) > WORD_LIMIT or self.held > WORD_BYTES:
+            self.codes, self.held = Codes(), 0
             for v in self.vocabularies:
                 v.clear()
         look = self.codes.__getitem__
         codes = [np.array(list(map(look, words)), dtype=np.int64) for words in texts]
         if self.codes.fresh:
             new = [w.decode("utf-8") for w in self.codes.fresh]
+            self.held += sum(map(len, self.codes.fresh))
             for v in self.vocabularies:
                 v.add(new)
             self.codes.fresh = []

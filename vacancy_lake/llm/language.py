@@ -30,7 +30,8 @@ ROWS_PER_LANGUAGE = 800
 SPAN = 60
 #: Words that get their own lexicon entry: those with this many training occurrences.
 LEXICON_MIN = 2
-WORD_LIMIT = 200_000
+#: Distinct words that a worker remembers, and letters of these: bounds on memory, not on results.
+WORD_LIMIT, WORD_LETTERS = 200_000, 8 << 20
 #: Letters of the texts that are labelled together.
 GROUP_LETTERS = 1_000_000
 #: Longer texts are cut into pieces of this many words, which advance together.
@@ -290,15 +291,16 @@ class WordScores:
         self.clear()
 
     def clear(self) -> None:
-        self.codes = Codes()
+        self.codes, self.held = Codes(), 0
         self.rows: list[np.ndarray] = []
 
     def look_up(self, model: Model, texts: list[list[str]]) -> np.ndarray:
-        if len(self.codes) > WORD_LIMIT:
+        if len(self.codes) > WORD_LIMIT or self.held > WORD_LETTERS:
             self.clear()
         look = self.codes.__getitem__
         codes = np.array([look(w) for words in texts for w in words], dtype=np.int64)
         fresh, self.codes.fresh = self.codes.fresh, []
+        self.held += sum(map(len, fresh))
         for a in range(0, len(fresh), 20_000):
             self.rows.append(model.scores(fresh[a : a + 20_000]).astype(np.float32))
         if len(self.rows) > 1:
