@@ -1,9 +1,11 @@
 """Near-duplicates, line dedup, URL rules, decontamination and the pipeline against brute force."""
 
 import random
+from collections import Counter
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -96,8 +98,8 @@ def plain_similar(texts, least=0.8):
     return {i: find(i) for i in ids}
 
 
-@pytest.mark.parametrize("part", [4_000_000, 700])
-def test_similar_texts_equal_brute_force(spark, part):
+@pytest.mark.parametrize(("part", "most", "limit"), [(4_000_000, 24, 5_000), (700, 24, 3), (700, 2, 5_000)])
+def test_similar_texts_equal_brute_force(spark, part, most, limit):
     rng = random.Random(11)
     texts = near_texts()
     for k in range(100, 180, 2):
@@ -108,7 +110,8 @@ def test_similar_texts_equal_brute_force(spark, part):
         texts[k + 1] = " ".join(own).upper()
     rows = list(texts.items()) + [(10, texts[10]), (None, texts[11])]
     want = plain_similar(texts)
-    got = jaccard.near_duplicates(frame(spark, rows), part_shingles=part).collect()
+    found = jaccard.near_duplicates(frame(spark, rows), part_shingles=part, most_parts=most, key_limit=limit)
+    got = found.collect()
     assert len(got) == len(rows)
     assert all(r.component_id == want[11 if r.doc_id is None else r.doc_id] for r in got)
     kept = {r.doc_id for r in simhash.keep_first(frame(spark, rows), shingle=5, similarity=0.8).collect()}
@@ -121,6 +124,40 @@ def test_similar_texts_equal_brute_force(spark, part):
     assert jaccard.near_duplicates(frame(spark, []).filter("false")).count() == 0
 
 
+def test_pages_of_a_template_form_no_group():
+    rng = random.Random(3)
+    template = [f"t{k}" for k in range(100)]
+    sets = []
+    for k in range(1200):
+        own = [f"o{rng.randrange(10**6)}" for _ in range(65)]
+        sets.append(jaccard.shingles(" ".join(template + own).encode(), 5))
+    keys, signatures = zip(*map(jaccard.sketch, sets))
+    rows = sorted((int(key), fp, signatures[fp]) for fp, own in enumerate(keys) for key in own)
+    batch = pa.RecordBatch.from_pylist([dict(zip(("key", "fp", "signature"), r)) for r in rows])
+    met = [b.select(["key", "fp"]) for b in jaccard.crowded(iter([batch.slice(0, 7), batch.slice(7)]))]
+    times = Counter(key for key, _, _ in rows)
+    assert sum(b.num_rows for b in met) == sum(n for n in times.values() if n > 1) > 800
+    # Without signatures over half of the pages would be one group; with them no two are linked.
+    for least, most, fewest in ((0.65, 0, 0), (0.0, 1199 * 24, 500)):
+        links = list(jaccard.candidate_links(least, 5_000)(iter([batch.slice(0, 99), batch.slice(99)])))
+        assert fewest <= sum(b.num_rows for b in links) <= most
+
+
+def test_pairs_at_the_similarity_are_candidates():
+    rng = random.Random(8)
+    found = 0
+    for _ in range(400):
+        n = rng.randint(10, 400)
+        shared = rng.sample(range(1 << 62), n)
+        own = rng.sample(range(1 << 62), round(n * 0.2 / 0.8))
+        cut = rng.randint(0, len(own))
+        both = [np.array(sorted(shared + part), np.uint64) for part in (own[:cut], own[cut:])]
+        (a, x), (b, y) = map(jaccard.sketch, both)
+        close = len(jaccard.signature_links(np.frombuffer(x + y, np.uint8).reshape(2, -1), 0.65))
+        found += bool((a == b).any() and close)
+    assert found >= 0.98 * 400
+
+
 def test_links_of_random_fingerprints(spark):
     rng = random.Random(2)
     fps = [rng.getrandbits(64) for _ in range(150)]
