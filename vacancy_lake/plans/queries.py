@@ -435,7 +435,7 @@ def on_job_pages(name: str, make: Callable[[], list]) -> None:
 @query("H1_title_heading")
 def _(spark, sf_dir):
     html = F.col("html")
-    return table(spark, sf_dir, "pages").select("page_id", H.page_title(html).alias("title"), H.first_heading(html).alias("h1"))
+    return table(spark, sf_dir, "pages").select("page_id", H.page_title(html).alias("title"), H.first_heading_source(html).alias("h1"))
 
 
 on_job_pages(
