@@ -438,10 +438,7 @@ def _(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", H.page_title(html).alias("title"), H.first_heading_source(html).alias("h1"))
 
 
-on_job_pages(
-    "H2_sections",
-    lambda: [H.job_sections(F.col("html"))[c].alias(c) for c in ("description", "requirements", "benefits")],
-)
+on_job_pages("H2_sections", lambda: [F.inline(F.array(H.job_sections(F.col("html"))))])
 
 
 @query("H3_value_by_label")
@@ -456,20 +453,19 @@ def _(spark, sf_dir):
 
 @query("H5_json_ld_salary")
 def _(spark, sf_dir):
-    found = job_pages(spark, sf_dir).select("ord", H.salary_from_json_ld(F.col("html")).alias("s"))
-    return found.filter("s IS NOT NULL").select("ord", "s.*")
+    found = job_pages(spark, sf_dir).select("ord", F.inline(F.array_compact(F.array(H.salary_from_json_ld(F.col("html"))))))
+    return found
 
 
 @query("H6_html_salary")
 def _(spark, sf_dir):
-    found = job_pages(spark, sf_dir).select("ord", H.salary_from_html(F.col("html")).alias("s"))
-    return found.select("ord", "s.*")
+    return job_pages(spark, sf_dir).select("ord", F.inline(F.array(H.salary_from_html(F.col("html")))))
 
 
 @query("H6_html_salary_all")
 def _(spark, sf_dir):
-    found = job_pages(spark, sf_dir).select("ord", H.salary_from_html(F.col("html")).alias("s"))
-    return found.select("ord", "s.salary_min", "s.salary_max", "s.salary_source")
+    found = job_pages(spark, sf_dir).select("ord", F.inline(F.array(H.salary_from_html(F.col("html")))))
+    return found.select("ord", "salary_min", "salary_max", "salary_source")
 
 
 @query("H7_salary_cascade")
