@@ -35,7 +35,8 @@ def without_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def first_of_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates."""
+    """One document of each group of near-duplicates: those with near SimHash fingerprints or a common MinHash
+    key are compared by their shingles."""
     return simhash.keep_first(docs, shingle=SHINGLE, similarity=SIMILARITY)
 
 

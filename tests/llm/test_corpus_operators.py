@@ -424,3 +424,17 @@ def test_pipeline(spark, tmp_path):
     assert now.filter("n_tokens <> size(ids)").count() == 0
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs.filter("false"), str(tmp_path)).count() == 0
+
+
+def test_near_fingerprints_are_candidates(spark):
+    """Texts whose SimHash fingerprints are linked meet, without a common MinHash key, too."""
+    prints = [0b1111, 0b1001, -1, 0xFFFFF << 40, 0b1111 | 0b1111 << 20, 0b1111]
+    rows = [(k, [k + 100], p) for k, p in enumerate(prints)] + [(9, [], 0b1111)]
+    texts = spark.createDataFrame(rows, "fp long, keys array<long>, simhash long")
+    found = {r.fp: r for r in jaccard.with_near_key(texts).collect()}
+    near = [found[k].near for k in range(len(prints))]
+    assert near[0] == near[1] == near[4] == near[5] and len(set(near)) == 3
+    assert all(found[k]["keys"] == [k + 100, near[k]] for k in range(len(prints))) and found[9]["keys"] == []
+    sets = [np.arange(10, dtype=np.uint64), np.arange(9, dtype=np.uint64)]
+    assert jaccard.group_links(sets, np.array([[1, near[0]], [2, near[1]]]), 0.8) == [(0, 1)]
+    assert jaccard.group_links(sets, np.array([[1, near[0]], [2, near[2]]]), 0.8) == []

@@ -2,6 +2,8 @@
 
 Texts meet under ``BANDS`` keys, each made of ``ROWS`` MinHash values of the shingles: a pair of
 similarity 0.8 shares a key with probability 1 - (1 - 0.8 ** 6) ** 24 = 0.9993, one of 0.3 with 0.017.
+Texts whose SimHash fingerprints of the same shingles are linked at ``simhash.MAX_DISTANCE`` bits meet
+under a further key.
 Many pages of one template would be chained by such chances, so a pair that meets is a candidate only
 if its signatures (a byte of each MinHash value) agree in enough places: 0.15 below the similarity
 asked for is 4.5 standard deviations of the estimate at 0.8.  Candidates form groups, and a group's
@@ -22,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from . import simhash
 from .batches import append_columns, ragged
 from .components import components
 from .store import written
@@ -182,33 +185,46 @@ def group_links(sets: list[np.ndarray], keys: np.ndarray, similarity: float) ->
 
 
 def compare_groups(size: int, similarity: float):
-    """For rows (kind, unit, part pair, fp, text) sorted by all but the last two: links of similar texts."""
+    """For rows (kind, unit, part pair, fp, near, text) sorted by all but the last three: links of similar texts."""
 
-    def links(texts: dict[int, bytes]) -> pa.RecordBatch:
+    def links(texts: dict[int, tuple[int, bytes]]) -> pa.RecordBatch:
         fps = list(texts)
-        sets = [shingles(texts[x], size) for x in fps]
-        found = group_links(sets, np.array([sketch(s)[0] for s in sets]), similarity) if len(fps) > 1 else []
+        sets = [shingles(texts[x][1], size) for x in fps]
+        keys = [np.append(sketch(s)[0], texts[x][0]) for x, s in zip(fps, sets)]
+        found = group_links(sets, np.array(keys), similarity) if len(fps) > 1 else []
         a, b = [fps[x] for x, _ in found], [fps[y] for _, y in found]
         return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, held = None, {}
         for batch in batches:
-            places = zip(*(batch.column(c).to_pylist() for c in ("kind", "unit", "x", "y", "fp")), strict=True)
+            places = zip(*(batch.column(c).to_pylist() for c in ("kind", "unit", "x", "y", "fp", "near")), strict=True)
             texts = batch.column("normal")
-            for k, (*unit, fp) in enumerate(places):
+            for k, (*unit, fp, near) in enumerate(places):
                 if unit != now:
                     if len(held) > 1:
                         yield links(held)
                     now, held = unit, {}
                 if fp not in held:
-                    held[fp] = texts[k].as_py()
+                    held[fp] = near, texts[k].as_py()
         if len(held) > 1:
             yield links(held)
 
     return run
 
 
+def with_near_key(texts: DataFrame) -> DataFrame:
+    """``texts`` with ``near``, a key of all texts whose fingerprints (column simhash) are linked, which is added to
+    the keys of a text that has any."""
+    texts = written(texts, "distinct")
+    roots = components(simhash.fingerprint_links(texts.select(F.col("simhash").alias("fp")).distinct()))
+    named = texts.join(roots.withColumnRenamed("node", "simhash"), "simhash", "left")
+    near = F.xxhash64(F.lit("simhash"), F.coalesce("root", "simhash"))
+    named = named.withColumn("near", near).drop("root", "simhash")
+    keys = F.when(F.size("keys") > 0, F.array_append("keys", F.col("near"))).otherwise(F.col("keys"))
+    return written(named.withColumn("keys", keys), "keyed")
+
+
 def near_duplicates(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -232,24 +248,25 @@ def near_duplicates(
         joined = [normal(x) for x in texts]
         sets = [shingles(x, shingle) for x in joined]
         keys, signatures = zip(*map(sketch, sets)) if sets else ((), ())
-        return [digest(x) for x in joined], [len(s) for s in sets], keys, signatures
+        return [digest(x) for x in joined], [len(s) for s in sets], keys, signatures, [simhash.fingerprint(x, shingle) for x in joined]
 
     fields = [
         T.StructField("fp", T.LongType()),
         T.StructField("n", T.LongType()),
         T.StructField("keys", T.ArrayType(T.LongType())),
         T.StructField("signature", T.BinaryType()),
+        T.StructField("simhash", T.LongType()),
     ]
     source = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text"))
     marked = written(append_columns(source, "__text", marks, fields, ["__id"]), "marked")
-    texts = written(
+    texts = with_near_key(
         marked.groupBy("fp").agg(
             F.min("__id").alias("first_id"),
             F.first("n").alias("n"),
             F.first("keys").alias("keys"),
             F.first("signature").alias("signature"),
-        ),
-        "distinct",
+            F.first("simhash").alias("simhash"),
+        )
     )
     meet = texts.select("fp", F.explode("keys").alias("key")).repartition(n, "key").sortWithinPartitions("key", "fp")
     met = written(meet.mapInArrow(crowded, "key long, fp long"), "met")
@@ -261,13 +278,13 @@ def near_duplicates(
         .mapInArrow(candidate_links(similarity - MARGIN, key_limit), LINKS)
     )
     groups = components(candidates).withColumnRenamed("node", "fp")
-    groups = written(groups.join(texts.select("fp", "n"), "fp"), "groups")
+    groups = written(groups.join(texts.select("fp", "n", "near"), "fp"), "groups")
     parts = F.ceil(F.sum("n") / F.lit(part_shingles)).alias("parts")
     of_group = groups.join(groups.groupBy("root").agg(parts), "root")
-    whole = of_group.filter(F.col("parts") <= most_parts).select(F.lit(0).alias("kind"), F.col("root").alias("unit"), "fp", "parts")
-    large = met.join(of_group.filter(F.col("parts") > most_parts).select("fp", "n"), "fp")
+    whole = of_group.filter(F.col("parts") <= most_parts).select(F.lit(0).alias("kind"), F.col("root").alias("unit"), "fp", "near", "parts")
+    large = met.join(of_group.filter(F.col("parts") > most_parts).select("fp", "n", "near"), "fp")
     shared = large.groupBy("key").agg(parts, F.count("*").alias("members")).filter("members > 1")
-    by_key = large.join(shared, "key").select(F.lit(1).alias("kind"), F.col("key").alias("unit"), "fp", "parts")
+    by_key = large.join(shared, "key").select(F.lit(1).alias("kind"), F.col("key").alias("unit"), "fp", "near", "parts")
     placed = whole.unionByName(by_key).withColumn("part", F.pmod(F.xxhash64("fp"), F.col("parts")))
 
     def normals(values: list[bytes | None]) -> tuple:
@@ -278,7 +295,7 @@ def near_duplicates(
     held = append_columns(source, "__text", normals, fields, []).join(placed, "fp")
     pairs = held.withColumn("o", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
     compared = (
-        pairs.select("kind", "unit", F.least("part", "o").alias("x"), F.greatest("part", "o").alias("y"), "fp", "normal")
+        pairs.select("kind", "unit", F.least("part", "o").alias("x"), F.greatest("part", "o").alias("y"), "fp", "near", "normal")
         .repartition(n, "kind", "unit", "x", "y")
         .sortWithinPartitions("kind", "unit", "x", "y")
         .mapInArrow(compare_groups(shingle, similarity), LINKS)
