@@ -74,3 +74,14 @@ def test_empty_tables_and_rows_without_key(spark, tmp_path):
     assert keyed_files.overlay_keyed(spark.createDataFrame([(None, "x")], schema), target, "k") == {"slices": 0, "rewritten": 0}
     keyed_files.overlay_keyed(spark.createDataFrame([("b", "1"), (None, "x"), ("a", None)], schema), target, "k")
     assert content(keyed_files.read_keyed(spark, target), ["k", "v"]) == ["Row(k='a', v=None)", "Row(k='b', v='1')"]
+
+
+def test_tasks_grow_with_rows_not_with_slices(spark, tmp_path):
+    """2,000 rows as 100 slices are written by as many tasks as a shuffle has; no rest is a slice of its own."""
+    target = str(tmp_path / "t")
+    keyed_files.create_keyed(spark.range(2000).selectExpr("id AS k", "'old' AS v"), target, "k", rows_per_slice=20)
+    found = keyed_files.slices(spark, target).collect()
+    assert len({r.slice.split("-")[2] for r in found}) <= 4
+    assert 60 <= len(found) <= 105 and all(10 <= r.rows < 30 for r in found)
+    keyed_files.overlay_keyed(spark.range(0, 2000, 3).selectExpr("id AS k", "'new' AS v"), target, "k", rows_per_slice=20)
+    assert keyed_files.read_keyed(spark, target).count() == 2000

@@ -22,6 +22,8 @@ from pyspark.sql import types as T
 from .ingest import has_key, overlay
 
 ROWS_PER_SLICE = 1_000_000
+#: Rows that one task writes, as slices.
+ROWS_PER_TASK = 1_000_000
 #: First keys of so many slices go to the tasks that deal out an update.
 MOST_SLICES = 200_000
 
@@ -56,19 +58,65 @@ def _rows(spark: SparkSession, target: str, names: list[str], schema: T.StructTy
 
 def read_keyed(spark: SparkSession, target: str, version: int | None = None) -> DataFrame:
     """The rows of a version; columns that later updates brought are null in slices they left alone."""
-    found = slices(spark, target, version).select("slice", "schema", "rows").collect()  # one row a slice
-    schema = T.StructType.fromJson(json.loads(found[0].schema))
+    now = slices(spark, target, version)
+    found = now.select("slice", "rows").collect()  # one row a slice
+    schema = T.StructType.fromJson(json.loads(now.select("schema").first().schema))
     return _rows(spark, target, [r.slice for r in found if r.rows], schema)
 
 
+def _cut(key: str, rows_per_slice: int):
+    """For a task's rows sorted by slice and key: the same with ``__n``, which grows where a slice ends or has
+    enough rows.  Rows of one key stay together; what is left of a slice, if under half of one, stays with the rest."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n, held, last, split = 0, 0, None, False
+        waiting: list[tuple[pa.RecordBatch, list[int]]] = []  # up to the rows of a slice that may be a rest
+
+        def joined() -> None:
+            """The open slice, if it is a rest, goes to the one before it."""
+            if split and 2 * held < rows_per_slice:
+                for _, labels in waiting:
+                    for k in range(len(labels) - 1, -1, -1):
+                        if labels[k] != n:
+                            break
+                        labels[k] = n - 1
+
+        def made() -> Iterator[pa.RecordBatch]:
+            for batch, labels in waiting:
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(labels, pa.int32())], names=[*batch.schema.names, "__n"])
+            waiting.clear()
+
+        for batch in batches:
+            labels: list[int] = []
+            waiting.append((batch, labels))
+            for now in zip(batch.column("__slice").to_pylist(), batch.column(key).to_pylist(), strict=True):
+                if last is not None and now[0] != last[0]:
+                    joined()
+                    n, held, split = n + 1, 0, False
+                elif held >= rows_per_slice and now != last:
+                    n, held, split = n + 1, 0, True
+                held, last = held + 1, now
+                labels.append(n)
+            if not split or 2 * held >= rows_per_slice:
+                yield from made()
+        joined()
+        yield from made()
+
+    return run
+
+
 def _write(df: DataFrame, target: str, key: str, version: int, rows: int, rows_per_slice: int, kept: DataFrame | None) -> None:
     """``df`` (with ``__slice``, the number of the slice a row comes from) as new slices of a new version."""
     spark, attempt = df.sparkSession, uuid.uuid4().hex[:8]
     schema = df.drop("__slice").schema
-    ranged = df.repartitionByRange(-(-rows // rows_per_slice) or 1, "__slice", key)
-    named = F.concat_ws("-", F.lit(version), F.lit(attempt), F.spark_partition_id(), F.col("__slice"))
     folder = f"{target}/data"
-    ranged.withColumn("slice", named).drop("__slice").write.mode("append").partitionBy("slice").parquet(folder)
+    # A task writes many slices: tasks by rows, not by slices, or their results alone would fill the driver.
+    wanted = -(-rows // rows_per_slice) or 1
+    tasks = max(min(wanted, int(spark.conf.get("spark.sql.shuffle.partitions"))), -(-rows // ROWS_PER_TASK))
+    ranged = df.repartitionByRange(tasks, "__slice", key).sortWithinPartitions("__slice", key)
+    cut = ranged.mapInArrow(_cut(key, rows_per_slice), T.StructType([*df.schema.fields, T.StructField("__n", T.IntegerType())]))
+    named = F.concat_ws("-", F.lit(version), F.lit(attempt), F.spark_partition_id(), F.col("__n"))
+    cut.withColumn("slice", named).drop("__slice", "__n").write.mode("append").partitionBy("slice").parquet(folder)
     written = spark.read.schema(T.StructType([schema[key], T.StructField("slice", T.StringType())])).parquet(folder)
     own = written.filter(F.col("slice").startswith(f"{version}-{attempt}-")).groupBy("slice").agg(F.min(key).alias("low"), F.count("*").alias("rows"))
     text = F.lit(schema.json()).alias("schema")
@@ -96,10 +144,10 @@ def overlay_keyed(new: DataFrame, target: str, key: str, rows_per_slice: int = R
     spark = new.sparkSession
     version = version_of(spark, target)
     now = slices(spark, target, version)
-    found = now.orderBy("low").collect()
+    found = now.select("slice", "low", "rows").orderBy("low").collect()
     if len(found) > MOST_SLICES:
         raise ValueError(f"more than {MOST_SLICES} slices: write the table with more rows in each")
-    schema = T.StructType.fromJson(json.loads(found[0].schema))
+    schema = T.StructType.fromJson(json.loads(now.select("schema").first().schema))
     found = [r for r in found if r.rows]
     lows = spark.sparkContext.broadcast([r.low for r in found])
 
