@@ -29,8 +29,8 @@ STOPWORDS = [
 def tokens(text: Column, stopwords: list[str] = STOPWORDS) -> Column:
     """ASCII words of over two characters; stop words are tested before lower-casing."""
     words = F.regexp_extract_all(text, F.lit(r"[A-Za-z0-9]+(?:[-_][A-Za-z0-9]+)*"), F.lit(0))
-    stop = F.array(*map(F.lit, dict.fromkeys(stopwords)))
-    kept = F.filter(words, lambda t: (F.length(t) > 2) & ~F.array_contains(stop, t))
+    # A set of literals is asked by hash, an array word by word.
+    kept = F.filter(words, lambda t: (F.length(t) > 2) & ~t.isin(list(dict.fromkeys(stopwords))))
     return F.transform(kept, F.lower)
 
 
@@ -52,9 +52,14 @@ SHARES = (5e-6, 1e-6)
 COUNTED = 500_000
 
 
-def _grams(words: list[str], most: int) -> Iterator[str]:
+def _grams(words: list[str], most: int) -> Iterator[tuple[str, ...]]:
     for n in range(1, most + 1):
-        yield from map(" ".join, zip(*[words[k:] for k in range(n)], strict=False))
+        yield from zip(*[words[k:] for k in range(n)], strict=False)
+
+
+def _joined(counts: dict[tuple[str, ...], int]) -> dict[str, int]:
+    """Counted as tuples: only different n-grams are joined, not every place of one."""
+    return {" ".join(g): n for g, n in counts.items()}
 
 
 def _counts(counts: dict[str | None, int]) -> pa.RecordBatch:
@@ -74,7 +79,7 @@ def heavy_hitters(words: DataFrame, most: int, share: float) -> DataFrame:
         for batch in batches:
             for row in batch.column(0).to_pylist():
                 words = row.split() if row else []
-                counts.update(_grams(words, most))
+                counts.update(words if most == 1 else map(" ".join, _grams(words, most)))
                 seen += sum(max(0, len(words) - n) for n in range(most))
                 if len(counts) > 4 * room:
                     values = np.fromiter(counts.values(), np.int64, len(counts))
@@ -118,9 +123,9 @@ def _counts_of_heavy(words: DataFrame, most: int, heavy: list[str]) -> DataFrame
                     if is_heavy:
                         counts.update(_grams(list(run), most))
             if len(counts) > COUNTED:
-                yield _counts(counts)
+                yield _counts(_joined(counts))
                 counts = Counter()
-        yield _counts(counts)
+        yield _counts(_joined(counts))
 
     return words.mapInArrow(run, "gram string, n long").groupBy("gram").agg(F.sum("n").alias("count"))
 
