@@ -1,7 +1,7 @@
 """Gold tables kept up to date: partial aggregates of each Silver batch, from which all nine tables come.
 
-A batch is read once, in one aggregation, and leaves as many rows as it has distinct roles, seniorities, locations,
-work modes, skills, domains and pairs of these.  A store is a folder ``parts/<id>`` for each batch and a log with a
+A batch is read once, in one aggregation, and leaves as many rows as it has distinct pairs of role and seniority, pairs
+of role and skill, locations, work modes and domains; single roles, seniorities and skills are sums of the pairs.  A store is a folder ``parts/<id>`` for each batch and a log with a
 row for each batch, written last: parts of a job that died are never read, and a batch given again takes the place
 of its earlier version, so a repeated job counts nothing twice.
 """
@@ -23,16 +23,19 @@ PARTS = T.StructType(
     + [T.StructField(n, T.DoubleType()) for n in ("min_sum", "max_sum")]
 )
 LOG = T.StructType([T.StructField("batch", T.StringType()), T.StructField("part", T.StringType()), T.StructField("at", T.TimestampType())])
-#: Kinds of keys: columns of Silver, of which list columns count each item.
+#: Kinds of keys that a batch leaves: columns of Silver.
 KEYS = {
-    "all": (),
-    "role": ("normalized_role",),
-    "seniority": ("seniority_level",),
     "role_seniority": ("normalized_role", "seniority_level"),
     "location": ("location_clean",),
     "work_mode": ("work_mode",),
 }
-ITEMS = {"skill": "skills", "domain": "domain_keywords"}
+#: Kinds whose partial aggregates are those of a finer kind, added up: kind and kept keys of that.
+SUMS = {
+    "all": ("role_seniority", ()),
+    "role": ("role_seniority", ("k1",)),
+    "seniority": ("role_seniority", ("k2",)),
+    "skill": ("role_skill", ("k2",)),
+}
 
 
 def partials(silver: DataFrame) -> DataFrame:
@@ -45,15 +48,13 @@ def partials(silver: DataFrame) -> DataFrame:
     def fact(kind: str, k1: Column = none, k2: Column = none, low: Column = no_value, high: Column = no_value) -> Column:
         return F.struct(F.lit(kind).alias("kind"), k1.alias("k1"), k2.alias("k2"), low.alias("low"), high.alias("high"))
 
-    def items(column: str, *keys: Column, kind: str) -> Column:
+    def items(kind: str, column: str, *keys: Column) -> Column:
         listed = F.coalesce(F.col(column), F.array().cast("array<string>"))
         return F.transform(listed, lambda item: fact(kind, *keys, item))
 
-    role = F.col("normalized_role")
     salaries = {"low": F.col("salary_min").cast("double"), "high": F.col("salary_max").cast("double")}
     rows = F.array(*[fact(kind, *map(F.col, names), **salaries) for kind, names in KEYS.items()])
-    lists = [items(c, kind=kind) for kind, c in ITEMS.items()]
-    lists.append(items("skills", role, kind="role_skill"))
+    lists = [items("role_skill", "skills", F.col("normalized_role")), items("domain", "domain_keywords")]
     return (
         silver.select(F.inline(F.concat(rows, *lists)))
         .groupBy("kind", "k1", "k2")
@@ -68,8 +69,17 @@ def partials(silver: DataFrame) -> DataFrame:
 
 
 def merged(parts: DataFrame) -> DataFrame:
-    """Partial aggregates of several batches as those of one."""
-    return parts.groupBy("kind", "k1", "k2").agg(*[F.sum(c).alias(c) for c in PARTS.names[3:]])
+    """Partial aggregates of several batches as those of one, with the kinds that are sums of others."""
+    none = F.lit(None).cast("string")
+    # A sum that a batch's part holds itself, as older parts do, is not added again.
+    held = ~F.col("kind").isin(list(SUMS))
+    copies = [F.struct("kind", "k1", "k2")]
+    for kind, (fine, keys) in SUMS.items():
+        k1, k2 = ([F.col(k) for k in keys] + [none, none])[:2]
+        copies.append(F.when(F.col("kind") == fine, F.struct(F.lit(kind).alias("kind"), k1.alias("k1"), k2.alias("k2"))))
+    numbers = PARTS.names[3:]
+    rows = parts.filter(held).select(F.inline(F.array_compact(F.array(*copies))), *numbers)
+    return rows.groupBy("kind", "k1", "k2").agg(*[F.sum(c).alias(c) for c in numbers])
 
 
 def tables(parts: DataFrame, skills: int = 20, domains: int = 15, per_role: int = 5) -> dict[str, DataFrame]:
