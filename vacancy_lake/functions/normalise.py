@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import re
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -23,7 +23,8 @@ def location_part(raw: Column) -> Column:
         # The mark that comes first in the list, not in the text, cuts.
         mark = F.coalesce(*[F.when(F.contains(text, F.lit(m)), F.lit(m)) for m in SEPARATORS])
         part = F.when(mark.isNull(), text).otherwise(strip(F.split_part(text, mark, F.lit(1))))
-        return strip(F.regexp_replace(part, r"(?U)\s*\([^)]*\)\s*", " "))
+        # Few places have brackets, and a search through the text costs less than the pattern.
+        return let(part, lambda p: strip(F.when(p.contains("("), F.regexp_replace(p, r"(?U)\s*\([^)]*\)\s*", " ")).otherwise(p)))
 
     return F.when(given(raw), let(strip(raw), first_part))
 
@@ -32,16 +33,12 @@ def city_of(part: Column, cities: dict[str, list[str]] | None = None) -> Column:
     """The first city one of whose names a place holds, else the place itself."""
     rules = [(F.lit(city), names) for city, names in (cities or V.CITIES).items()]
 
-    def first_city(place: Column) -> Column:
-        # Names are tried in order, city by city: one alternation of literals for each city.
-        found = [F.when(place["low"].rlike("|".join(map(_literal, names))), city) for city, names in rules]
-        return F.coalesce(*found, place["part"])
+    def first_city(place: Column, low: Column) -> Column:
+        # Names are tried in order, city by city.
+        found = [F.when(reduce(Column.__or__, [low.contains(n) for n in names]), city) for city, names in rules if names]
+        return F.coalesce(*found, place)
 
-    return let(F.struct(part.alias("part"), F.lower(part).alias("low")), first_city)
-
-
-def _literal(text: str) -> str:
-    return re.sub(r"([.()\-])", r"\\\1", text)
+    return let(part, lambda place: let(F.lower(place), lambda low: first_city(place, low)))
 
 
 def clean_location(raw: Column, cities: dict[str, list[str]] | None = None) -> Column:
@@ -64,16 +61,20 @@ def parse_experience(raw: Column) -> Column:
         def years(pattern: str, group: int = 1) -> Column:
             return F.regexp_extract(text, pattern, group).try_cast("double").cast("int")
 
-        open_ended = text.contains("+") | text.contains("trở lên")
+        def any_of(*literals: str) -> Column:
+            return reduce(Column.__or__, [text.contains(v) for v in literals])
+
+        # A pattern runs only on texts that hold what it needs.
+        open_ended, span = any_of("+", "trở lên"), any_of("-", "–", "—")
         return (
-            F.when(text.rlike("không yêu cầu|không|none|no experience"), pair(F.lit(0), none))
-            .when(text.rlike(over), pair(years(over), none))
-            .when(text.rlike(under), pair(F.lit(0), years(under)))
-            .when(text.rlike(units), pair(years(units), years(units, 2)))
-            .when(text.rlike(plain), pair(years(plain), years(plain, 2)))
+            F.when(any_of("không", "none", "no experience"), pair(F.lit(0), none))
+            .when(any_of("trên") & text.rlike(over), pair(years(over), none))
+            .when(any_of("dưới") & text.rlike(under), pair(F.lit(0), years(under)))
+            .when(span & text.rlike(units), pair(years(units), years(units, 2)))
+            .when(span & text.rlike(plain), pair(years(plain), years(plain, 2)))
             .when(text.rlike(one), let(years(one), lambda n: pair(n, F.when(~open_ended, n))))
             .when(text.rlike(only), let(years(only), lambda n: pair(n, n)))
-            .when(text.rlike("fresher|intern|mới ra trường"), pair(F.lit(0), F.lit(0)))
+            .when(any_of("fresher", "intern", "mới ra trường"), pair(F.lit(0), F.lit(0)))
             .otherwise(pair(none, none))
         )
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -60,17 +60,28 @@ def read_silver(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_silver(df: DataFrame, path: str, kind: str = "parquet") -> bool:
-    """Writes unless there is no row; CSV has its lists as JSON.  ValueError for another kind."""
+    """Writes unless there is no row; CSV has its lists as JSON.  ValueError for another kind.
+
+    ``df`` runs once where nothing stands at ``path`` yet: its rows are counted while they are written, and a table
+    without rows is taken away again.  Over an older table, which an empty one must leave alone, it is asked first.
+    """
     if kind not in ("parquet", "csv"):
         raise ValueError(f"neither parquet nor csv: {kind}")
-    if df.isEmpty():
+    folder = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(df.sparkSession._jsc.hadoopConfiguration())
+    new, seen = not files.exists(folder), Observation()
+    if not new and df.isEmpty():
         return False
+    df = df.observe(seen, F.count(F.lit(1)).alias("rows"))
     if kind == "parquet":
         df.write.mode("overwrite").parquet(path)
     else:
         lists = [f.name for f in df.schema if isinstance(f.dataType, T.ArrayType)]
         flat = df.withColumns({c: F.to_json(c) for c in lists})
         flat.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    if new and not seen.get["rows"]:
+        files.delete(folder, True)
+        return False
     return True
 
 
